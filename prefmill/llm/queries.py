@@ -29,8 +29,14 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), keep_ids=False)
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prefmill.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_bpe": _op1, "op5_best_fit_packing": _op5, "op10_token_frames": _op10}
+    return {"op1_bpe": _op1, "op4_simhash": _op4, "op5_best_fit_packing": _op5, "op10_token_frames": _op10}
 
 
 def oracle_sql() -> dict[str, str]:
