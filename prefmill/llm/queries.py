@@ -29,6 +29,12 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), keep_ids=False)
 
 
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prefmill.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from prefmill.llm.simhash import near_duplicates
 
@@ -36,7 +42,7 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_bpe": _op1, "op4_simhash": _op4, "op5_best_fit_packing": _op5, "op10_token_frames": _op10}
+    return {"op1_bpe": _op1, "op3_toxicity": _op3, "op4_simhash": _op4, "op5_best_fit_packing": _op5, "op10_token_frames": _op10}
 
 
 def oracle_sql() -> dict[str, str]:
