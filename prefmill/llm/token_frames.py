@@ -34,7 +34,7 @@ SKIPPABLE = 0x184D2A5E  # fixed by the format: frame magic of the seek table
 SEEKABLE = 0x8F92EAB1  # fixed by the format: footer magic
 CHECKSUMS = 0x80  # fixed by the format: descriptor bit, entries carry checksums
 #: Text bytes that one shard is meant to hold.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 16 << 20
 
 
 class ShardWriter:
