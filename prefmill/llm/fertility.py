@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefmill.llm.util import arrow_map, slices, stored
+from prefmill.llm.util import arrow_map, free_names, slices, stored
 from prefmill.llm.vocab import Cache, public_path, settle
 
 Z = 4.5
@@ -123,18 +123,6 @@ def meter(path: str) -> Meter:
     return out
 
 
-def free_names(taken: list[str], names: list[str]) -> dict[str, str]:
-    """Column names for ``names`` that clash with none of ``taken``."""
-    low, out = {t.lower() for t in taken}, {}
-    for n in names:
-        new = n
-        while new.lower() in low:
-            new = f"_{new}"
-        out[n] = new
-        low.add(new.lower())
-    return out
-
-
 def measured(docs: DataFrame, path: str | None = None) -> tuple[DataFrame, dict[str, str]]:
     """The documents with their measures behind their own columns; narrow.
 

@@ -43,6 +43,18 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
 
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prefmill.llm.media import media_columns
+
+    return media_columns(table(spark, sf_dir, "documents"))
+
+
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prefmill.llm.license_scan import licenses
+
+    return licenses(table(spark, sf_dir, "documents"))
+
+
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from prefmill.llm.fertility import quality
 
@@ -62,7 +74,7 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_bpe": _op1, "op2_chat": _op2, "op3_toxicity": _op3, "op4_simhash": _op4, "op5_best_fit_packing": _op5, "op6_url_filter": _op6, "op9_fertility": _op9, "op10_token_frames": _op10}
+    return {"op1_bpe": _op1, "op2_chat": _op2, "op3_toxicity": _op3, "op4_simhash": _op4, "op5_best_fit_packing": _op5, "op6_url_filter": _op6, "op7_media": _op7, "op8_license_scan": _op8, "op9_fertility": _op9, "op10_token_frames": _op10}
 
 
 def oracle_sql() -> dict[str, str]:

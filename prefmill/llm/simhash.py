@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prefmill.llm.components import components
-from prefmill.llm.util import arrow_map, groups, slices, stored, texts_of
+from prefmill.llm.util import arrow_map, free_names, groups, slices, stored, texts_of
 
 SHINGLE = 4
 SEED = 42
@@ -70,15 +70,19 @@ def fingerprint(text: str) -> int:
     return int.from_bytes(np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every document; narrow."""
+def fingerprints(docs: DataFrame, keep_hash: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) and, if asked, text_hash of every document; narrow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fps = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            kept = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(fps.view(np.int64))], names=[*kept, "fp"])
 
-    return arrow_map(texts_of(docs), run, "doc_id long, fp long")
+    rows = texts_of(docs)
+    if keep_hash:
+        return arrow_map(rows.withColumn("text_hash", F.xxhash64("text")), run, "doc_id long, text_hash long, fp long")
+    return arrow_map(rows, run, "doc_id long, fp long")
 
 
 @functools.lru_cache(maxsize=1)
@@ -242,15 +246,35 @@ def links(fps: DataFrame, wide: bool, tile: int = TILE) -> DataFrame:
     return arrow_map(dealt, compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, wide_from: int = WIDE_FROM, tile: int = TILE) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id (least doc_id reachable by links)."""
-    marked = stored(fingerprints(docs), "fingerprints")
+def classes(marked: DataFrame, wide_from: int = WIDE_FROM, tile: int = TILE) -> DataFrame:
+    """fp, component (a fingerprint of its group), component_id (least doc_id) of stored (doc_id, fp) rows."""
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     n = distinct.count()
     parts = components(links(distinct, wide=n >= wide_from, tile=tile))
     named = distinct.join(parts, distinct.fp == parts.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
     named = stored(named, "named")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = named.join(least, "component").select("fp", "component_id")
-    out = marked.join(classes, "fp")
+    return named.join(least, "component").select("fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, wide_from: int = WIDE_FROM, tile: int = TILE) -> DataFrame:
+    """doc_id, fingerprint (hex), component_id (least doc_id reachable by links)."""
+    marked = stored(fingerprints(docs), "fingerprints")
+    out = marked.join(classes(marked, wide_from, tile), "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One document of each group, one with the least doc_id, with its own columns.
+
+    The winners are found on (doc_id, text hash, fingerprint); then the texts
+    are read again and joined with the winners' ids and hashes alone. Of equal
+    rows that repeat a winner one stays.
+    """
+    marked = stored(fingerprints(docs, keep_hash=True), "fingerprints")
+    winners = marked.join(classes(marked.select("doc_id", "fp")), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    winners = winners.groupBy("component").agg(F.first("doc_id").alias("id"), F.min("text_hash").alias("text_hash"))
+    names = free_names(docs.columns, ["_id", "_hash", "_component"])
+    ids = winners.select(F.col("id").alias(names["_id"]), F.col("text_hash").alias(names["_hash"]), F.col("component").alias(names["_component"]))
+    same = docs["doc_id"].cast("long").eqNullSafe(ids[names["_id"]]) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == ids[names["_hash"]])
+    return docs.join(ids, same).dropDuplicates([names["_component"]]).select(*[docs[f"`{c}`"] for c in docs.columns])

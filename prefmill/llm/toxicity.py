@@ -247,3 +247,14 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = 0.5) -> Da
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Fit on the labelled rows and score every document."""
     return score_documents(docs, fit(docs, labels))
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The documents whose score is below the threshold, with their own columns; no text is shuffled."""
+    model = fit(docs, labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array([model.score(t or "") < threshold for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return arrow_map(docs, run, docs.schema)

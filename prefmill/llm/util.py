@@ -80,6 +80,18 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def free_names(taken: list[str], names: list[str]) -> dict[str, str]:
+    """Column names for ``names`` that clash with none of ``taken``."""
+    low, out = {t.lower() for t in taken}, {}
+    for n in names:
+        new = n
+        while new.lower() in low:
+            new = f"_{new}"
+        out[n] = new
+        low.add(new.lower())
+    return out
+
+
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
     """Runs of equal keys in a stream of sorted batches; one run is held at a time."""
     held: list[pa.RecordBatch] = []
