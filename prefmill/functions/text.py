@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 #: Java class equal to Python's white space.
 SPACE = r"[\s\x1c-\x1f]"
@@ -34,7 +35,7 @@ def blank(c: Column | str) -> Column:
     return F.coalesce(strip(c) == "", F.lit(True))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 

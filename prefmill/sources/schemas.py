@@ -12,4 +12,4 @@ JUDGED = "struct<judge_message:string,judge_score:double>"
 EVALUATED = f"id long, category string, questions array<string>, references array<string>, outputs array<string>, query_single {JUDGED}, query_multi {JUDGED}, judge_single_score double, judge_multi_score double"
 
 #: The closed, ordered set of training categories (fixed values).
-CATEGORIES = ["추론", "수학", "글쓰기", "코딩", "이해", "문법"]
+CATEGORIES = ["추론", "수학", "코딩", "이해", "글쓰기", "문법"]
