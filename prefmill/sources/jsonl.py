@@ -22,7 +22,9 @@ def read_tolerant(spark: SparkSession, paths: str | list[str], schema: str) -> t
     """(good rows, bad rows with their text and file); blank lines and a BOM are passed over."""
     fields = T.StructType.fromDDL(schema).add(CORRUPT, T.StringType())
     rows = spark.read.schema(fields).option("columnNameOfCorruptRecord", CORRUPT).json(paths).withColumn("_file", F.col("_metadata.file_path"))
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file"), rows.where(F.col(CORRUPT).isNotNull()).select("_file", CORRUPT)
+    # Spark refuses to read the corrupt column alone, so the filter looks at a field of the record too
+    seen = F.coalesce(F.col(fields.fields[0].name).cast("string"), F.lit("")) != "\0"
+    return rows.where(F.col(CORRUPT).isNull() & seen).drop(CORRUPT, "_file"), rows.where(F.col(CORRUPT).isNotNull() & seen).select("_file", CORRUPT)
 
 
 def read_strict(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
