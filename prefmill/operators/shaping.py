@@ -72,3 +72,9 @@ def training_steps(rows: int, batch: int, accumulation: int, epochs: float, warm
     per_epoch = -(-rows // (batch * accumulation))
     steps = max(1, int(per_epoch * epochs))
     return steps, max(least_warmup, int(steps * warmup_ratio))
+
+
+def model_inputs(df: DataFrame, ids: str, max_length: int) -> DataFrame:
+    """input_ids cut to a length, and an attention mask of ones as long."""
+    cut = F.slice(ids, 1, max_length)
+    return df.withColumns({"input_ids": cut, "attention_mask": F.transform(cut, lambda x: F.lit(1))})
