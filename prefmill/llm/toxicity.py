@@ -22,7 +22,6 @@ rows are scored each.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,8 +38,10 @@ TRAIN_DOCS = 20_000
 FORMS = 4_000
 #: Documents of the sample that a form must be in.
 MIN_DOCS = 4
-#: Buckets of hashed forms.
-BUCKETS = 1 << 22
+#: Weights below this are dropped, and the rest fitted again.
+LEAST_WEIGHT = 0.5
+#: Forms that a task counts before it passes its counts on.
+COUNTED = 300_000
 
 SENTENCE = re.compile(r"[^.!?\n\r]+[.!?]*").findall
 WORD = re.compile(r"\w+").findall
@@ -51,19 +52,15 @@ def forms(word: str) -> list[str]:
     return [word, *(f"{word[:k]}*" for k in (4, 5, 6) if len(word) > k)]
 
 
-def bucket(form: str) -> int:
-    return zlib.crc32(form.encode("utf-8")) % BUCKETS
-
-
 def held_out(doc_id_col: str = "doc_id"):
     """Whether crc32 of the id as text leaves 0 when divided by 5."""
     return F.coalesce(F.crc32(F.col(doc_id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 class Model:
-    """Weights by hashed form; ``word_weight`` is the sum over a word's forms."""
+    """Weights by form; ``word_weight`` is the sum over a word's forms."""
 
-    def __init__(self, bias: float, weights: dict[int, float]):
+    def __init__(self, bias: float, weights: dict[str, float]):
         self.bias, self.weights = bias, weights
         self.words: dict[str, float] = {}
 
@@ -76,10 +73,18 @@ class Model:
     def word_weight(self, word: str) -> float:
         got = self.words.get(word)
         if got is None:
-            if len(self.words) > 200_000:
+            if len(self.words) > 150_000:
                 self.words.clear()
             get = self.weights.get
-            got = self.words[word] = sum(get(b, 0.0) for b in {bucket(f) for f in forms(word)})
+            got = get(word, 0.0)
+            n = len(word)
+            if n > 4:
+                got += get(word[:4] + "*", 0.0)
+                if n > 5:
+                    got += get(word[:5] + "*", 0.0)
+                    if n > 6:
+                        got += get(word[:6] + "*", 0.0)
+            self.words[word] = got
         return got
 
     def sentences(self, text: str) -> list[tuple[str, float]]:
@@ -90,25 +95,19 @@ class Model:
         hits = {w for w in words if self.word_weight(w)}
         if not hits:
             return 0.0
-        if len(hits) == 1:
-            return self.word_weight(next(iter(hits)))
-        return sum(self.weights.get(b, 0.0) for b in {bucket(f) for w in hits for f in forms(w)})
+        return sum(self.weights.get(f, 0.0) for f in sorted({f for w in hits for f in forms(w)}))
 
     def score(self, text: str) -> float:
         """The document's noisy-or. Sentences without a weighted word share one term."""
-        plain = np.log1p(np.exp(self.bias))  # -log(1 - sigmoid(bias))
-        total, weight = 0.0, self.words.get
-        for s in SENTENCE(text.lower()) or [""]:
-            words = WORD(s)
-            for w in words:
-                v = weight(w)
-                if v is None:
-                    v = self.word_weight(w)
-                if v:
-                    total += np.log1p(np.exp(min(60.0, self.bias + self._sum(words))))
-                    break
-            else:
-                total += plain
+        plain = float(np.log1p(np.exp(self.bias)))  # -log(1 - sigmoid(bias))
+        low = text.lower()
+        sentences = SENTENCE(low) or [""]
+        if not any(map(self.word_weight, set(WORD(low)))):
+            return float(-np.expm1(-plain * len(sentences)))
+        total = 0.0
+        for s in sentences:
+            z = self._sum(WORD(s))
+            total += float(np.log1p(np.exp(min(60.0, self.bias + z)))) if z else plain
         return float(-np.expm1(-total))
 
 
@@ -129,29 +128,30 @@ def _sample(docs: DataFrame, labels: DataFrame, train_docs: int) -> DataFrame:
     return texts_of(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
 
-def _counted(sample: DataFrame, n_forms: int) -> list[tuple[int, int, int]]:
-    """(bucket, toxic documents, clean documents) of the forms that tell most."""
+def _counted(sample: DataFrame, n_forms: int) -> list[str]:
+    """The forms that tell most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        toxic_docs: Counter = Counter()
+        clean_docs: Counter = Counter()
+
+        def counted() -> pa.RecordBatch:
+            keys = list(toxic_docs.keys() | clean_docs.keys())
+            cols = [pa.array(keys, pa.string()), pa.array([toxic_docs[k] for k in keys], pa.int64()), pa.array([clean_docs[k] for k in keys], pa.int64())]
+            return pa.RecordBatch.from_arrays(cols, names=["form", "toxic", "clean"])
+
         for batch in slices(batches):
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                toxic = int(toxic > 0)
-                for b in {bucket(f) for w in set(WORD(text.lower())) for f in forms(w)}:
-                    counts[b << 1 | toxic] += 1
-            if len(counts) > 1_000_000:
-                yield _pairs(counts)
-                counts = Counter()
-        yield _pairs(counts)
-
-    def _pairs(counts: Counter) -> pa.RecordBatch:
-        keys = np.fromiter(counts.keys(), np.int64, len(counts))
-        n = np.fromiter(counts.values(), np.int64, len(counts))
-        return pa.RecordBatch.from_arrays([pa.array(keys >> 1), pa.array(n * (keys & 1)), pa.array(n * (1 - (keys & 1)))], names=["form", "toxic", "clean"])
+                (toxic_docs if toxic > 0 else clean_docs).update({f for w in set(WORD(text.lower())) for f in forms(w)})
+            if len(toxic_docs) + len(clean_docs) > COUNTED:
+                yield counted()
+                toxic_docs.clear()
+                clean_docs.clear()
+        yield counted()
 
     total = sample.agg(F.count(F.when(F.col("toxic") > 0, 1)).alias("t"), F.count(F.lit(1)).alias("n")).first()
     t_all, n_all = float(total["t"]), float(total["n"])
-    counted = arrow_map(sample.select("text", "toxic"), run, "form long, toxic long, clean long").groupBy("form").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counted = arrow_map(sample.select("text", "toxic"), run, "form string, toxic long, clean long").groupBy("form").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     n = F.col("toxic") + F.col("clean")
     share = t_all / max(1.0, n_all)
     gain = F.lit(0.0)
@@ -159,14 +159,14 @@ def _counted(sample: DataFrame, n_forms: int) -> list[tuple[int, int, int]]:
         gain = gain + F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
     # only forms that speak for toxicity: the rest is the bias's part
     best = counted.where((n >= MIN_DOCS) & (F.col("toxic") > n * share)).withColumn("gain", gain).orderBy(F.desc("gain"), "form").limit(n_forms)
-    return [(r["form"], r["toxic"], r["clean"]) for r in best.collect()]
+    return [r["form"] for r in best.collect()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, n_forms: int = FORMS) -> Model:
     """A model from the labelled rows that are not held out."""
     sample = stored(_sample(docs, labels, train_docs).withColumn("_text", F.xxhash64("text")).dropDuplicates(["_text", "toxic"]).drop("_text"), "toxicity-sample")
     chosen = _counted(sample, n_forms)
-    index = {b: k for k, (b, _, _) in enumerate(chosen)}
+    index = {f: k for k, f in enumerate(chosen)}
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -174,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, n_form
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 found, empty = [], 0
                 for s in SENTENCE(text.lower()) or [""]:
-                    own = sorted({index[b] for w in set(WORD(s)) for b in map(bucket, forms(w)) if b in index})
+                    own = sorted({index[f] for w in set(WORD(s)) for f in forms(w) if f in index})
                     if own:
                         found += [*own, -1]
                     else:
@@ -186,10 +186,13 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, n_form
     got = arrow_map(sample.select("text", "toxic"), bags, "toxic int, empty long, found array<int>").collect()
     got.sort(key=lambda r: (r["toxic"], r["empty"], r["found"]))  # the sum below doesn't depend on task order
     bias, weights = _noisy_or(got, len(chosen))
-    return Model(bias, {b: float(weights[k]) for b, k in index.items() if abs(weights[k]) > 1e-3})
+    strong = np.abs(weights) >= LEAST_WEIGHT
+    if strong.any() and not strong.all():
+        bias, weights = _noisy_or(got, len(chosen), strong)
+    return Model(bias, {f: float(weights[k]) for f, k in index.items() if weights[k]})
 
 
-def _noisy_or(bags: list, n_forms: int, steps: int = 500, rate: float = 0.1, decay: float = 5e-5) -> tuple[float, np.ndarray]:
+def _noisy_or(bags: list, n_forms: int, used: np.ndarray | None = None, steps: int = 500, rate: float = 0.1, decay: float = 5e-5) -> tuple[float, np.ndarray]:
     """Full-batch Adam on the noisy-or likelihood with an L1 pull on the weights."""
     y = np.array([r["toxic"] for r in bags], float)
     empty = np.array([r["empty"] for r in bags], float)
@@ -220,6 +223,8 @@ def _noisy_or(bags: list, n_forms: int, steps: int = 500, rate: float = 0.1, dec
         gs = g[doc] * p
         grad = np.append(np.bincount(form, gs[sent], n_forms), gs.sum() + (g * empty).sum() / (1 + np.exp(-bias)))
         grad[:-1] += decay * np.sign(weights[:-1])
+        if used is not None:
+            grad[:-1][~used] = 0.0
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         weights = weights - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     return float(weights[-1] - 6.0), weights[:-1]
