@@ -16,7 +16,6 @@ kept; the special token's string in a text becomes its id, as in the library.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import re
@@ -26,8 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from prefmill.llm.util import arrow_map, slices, texts_of
-from prefmill.llm.vocab import SINGLE_MARKS, Cache, byte_chars, public_path, settle
+from prefmill.llm.util import arrow_map, slices, texts_of, tool
+from prefmill.llm.vocab import SINGLE_MARKS, Cache, byte_chars, public_path
 
 #: Remembered answers of the pair test.
 PAIRS = 400_000
@@ -160,11 +159,8 @@ class PrefixBpe:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=4)
 def prefix_bpe(path: str) -> PrefixBpe:
-    out = PrefixBpe(path)
-    settle()
-    return out
+    return tool(PrefixBpe, path)
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool = True) -> DataFrame:

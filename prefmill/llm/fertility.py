@@ -19,7 +19,6 @@ kept in the result.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +27,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prefmill.llm.util import arrow_map, free_names, slices, stored
-from prefmill.llm.vocab import Cache, public_path, settle
+from prefmill.llm.util import arrow_map, free_names, slices, stored, tool
+from prefmill.llm.vocab import Cache, public_path
 
 Z = 4.5
 MARGIN = 0.03
 BYTES = 0.25
 ENTROPY = 0.3
+#: A language with fewer than one document in so many shares its band with all other rare ones.
+COMMON = 1000
 #: Medians are exact on values rounded to one part in STEPS.
 STEPS = 2000
 SYMBOLS = "#*$%&|<>"
@@ -116,11 +117,8 @@ def repeated_words(words: list[bytes], width: int = 5) -> int:
     return int((np.cumsum(covered)[:-1] > 0).sum())
 
 
-@functools.lru_cache(maxsize=2)
 def meter(path: str) -> Meter:
-    out = Meter(path)
-    settle()
-    return out
+    return tool(Meter, path)
 
 
 def measured(docs: DataFrame, path: str | None = None) -> tuple[DataFrame, dict[str, str]]:
@@ -155,7 +153,7 @@ def _median(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFram
 def judged(rows: DataFrame, names: dict[str, str], lang: str) -> DataFrame:
     """Add base_failed, kept and the band's values to stored, measured documents."""
     c = {k: F.col(v) for k, v in names.items()}
-    out = free_names(rows.columns, ["base_failed", "kept", "_lang", "_class", "_bytes", "_center", "_spread", "_byte_center", "_entropy_center"])
+    out = free_names(rows.columns, ["base_failed", "kept", "_lang", "_class", "_bytes", "_center", "_spread", "_byte_center", "_entropy_center", "_n"])
     failed = (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
     rows = (
         rows.withColumn(out["base_failed"], failed)
@@ -163,8 +161,11 @@ def judged(rows: DataFrame, names: dict[str, str], lang: str) -> DataFrame:
         .withColumn(out["_class"], F.coalesce(F.floor(F.log2(F.greatest(c["n_tokens"], F.lit(1)))).cast("int"), F.lit(0)))
         .withColumn(out["_bytes"], F.try_divide(c["n_byte_tokens"], c["n_tokens"]))
     )
-    good = rows.where(~F.col(out["base_failed"]))
     keys = [out["_lang"]]
+    # at most COMMON languages, so at most 64 * COMMON bands: they are broadcast, and no text is shuffled
+    common = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(out["_n"])).where(F.col(out["_n"]) * COMMON >= rows.count())
+    rows = rows.join(F.broadcast(common), keys, "left").withColumn(out["_lang"], F.when(F.col(out["_n"]).isNotNull(), F.col(out["_lang"])).otherwise(""))
+    good = rows.where(~F.col(out["base_failed"]))
     center = _median(good, keys, names["word_fertility"], out["_center"])
     bytes_ = _median(good, keys, out["_bytes"], out["_byte_center"])
     entropy = _median(good, [*keys, out["_class"]], names["entropy"], out["_entropy_center"])
@@ -172,7 +173,7 @@ def judged(rows: DataFrame, names: dict[str, str], lang: str) -> DataFrame:
     weight = F.sum(F.round(c["word_variance"] * c["n_words"] * 1000).cast("long")) / F.sum(c["n_words"]) / 1000
     spread = good.groupBy(*keys).agg(F.sqrt(weight).alias(out["_spread"]))
     bands = center.join(spread, keys, "left").join(bytes_, keys, "left")
-    with_bands = rows.join(bands, keys, "left").join(entropy, [*keys, out["_class"]], "left")
+    with_bands = rows.join(F.broadcast(bands), keys, "left").join(F.broadcast(entropy), [*keys, out["_class"]], "left")
     mid = F.col(out["_center"])
     low = mid - F.greatest(mid * MARGIN, Z * F.col(out["_spread"]) / F.sqrt(F.greatest(c["n_words"], F.lit(1))))
     rejected = (c["word_fertility"] < low) | (F.col(out["_bytes"]) > F.col(out["_byte_center"]) + BYTES) | (c["entropy"] < F.col(out["_entropy_center"]) - ENTROPY)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import itertools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 #: Rows that a Python worker turns into Python objects at once.
 SLICE_ROWS = 512
 #: Text bytes above which a slice is cut shorter than SLICE_ROWS.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -69,10 +72,50 @@ def _bytes(column: pa.Array) -> int:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` whose worker gives memory back when its task ends."""
     from prefmill.session import ship
 
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            trim()
+
+    return df.mapInArrow(run, schema)
+
+
+_tools: dict[tuple, Any] = {}
+
+
+def tool(kind: Callable[[str], Any], path: str) -> Any:
+    """The process's one large tool (an encoder with its caches), built once.
+
+    Workers live longer than a stage; a tool of another kind lets the last one
+    go, so a pipeline's worker holds one at a time.
+    """
+    key = (kind, path)
+    if key not in _tools:
+        _tools.clear()
+        gc.unfreeze()
+        gc.collect()
+        trim()
+        _tools[key] = kind(path)
+        # keep the cycle collector away from tables that live as long as the worker
+        gc.collect()
+        gc.freeze()
+        gc.set_threshold(100_000, 50, 1000)
+    return _tools[key]
+
+
+def trim() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,8 +6,6 @@ tasks. Their word caches hold two generations of bounded size.
 
 from __future__ import annotations
 
-import functools
-import gc
 import itertools
 import json
 import os
@@ -15,12 +13,14 @@ from collections.abc import Iterable
 
 import numpy as np
 
+from prefmill.llm.util import tool
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Marks that are a token of their own behind letters.
 SINGLE_MARKS = frozenset(",.;:!?")
 #: Words in the younger generation of a cache before it becomes the older one.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
 
 
 def public_path(name: str) -> str:
@@ -152,15 +152,5 @@ class WordEncoder:
         return self._merged("".join([p + self.END for p in flat]), np.cumsum([0, *map(len, pieces)]))
 
 
-def settle() -> None:
-    """Keep the cycle collector away from tables and caches that live as long as the worker."""
-    gc.collect()
-    gc.freeze()
-    gc.set_threshold(100_000, 50, 1000)
-
-
-@functools.lru_cache(maxsize=4)
 def word_encoder(path: str) -> WordEncoder:
-    out = WordEncoder(path)
-    settle()
-    return out
+    return tool(WordEncoder, path)
