@@ -69,8 +69,8 @@ class PrefixBpe:
         self.pairs: dict[int, bool] = {}
         self.pretokens = regex.compile(self.PRETOKEN).findall
         self.uneven = re.compile(r"\s (?!\S)").search
-        self.known = Cache(lambda pretokens: [self.prefix_dp(p) for p in pretokens])
-        self.words = Cache(self._words)
+        self.known = Cache(lambda pretokens: [self.prefix_dp(p) for p in pretokens], cap=200_000)
+        self.words = Cache(self._words, cap=200_000)
 
     def _words(self, words: list[str]) -> list[bytes]:
         pieces = []
