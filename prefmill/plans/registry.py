@@ -504,11 +504,10 @@ def quality_warnings(spark: SparkSession, sf: str) -> DataFrame:
 SELECT doc_id AS id, unnest(CASE doc_id % 6 WHEN 0 THEN ['previous-case marker'] WHEN 1 THEN ['unfilled placeholder'] WHEN 3 THEN ['unfilled placeholder'] WHEN 4 THEN ['numeric condition marker', 'generated review id'] ELSE [] END) AS rule FROM t"""
 )
 def quality_flags(spark: SparkSession, sf: str) -> DataFrame:
-    """Forbidden wording, planted in a third of the texts."""
-    text = (
-        F.when(F.col("doc_id") % 6 == 0, "이전  사례").when(F.col("doc_id") % 6 == 1, "fill {name_here} in").when(F.col("doc_id") % 6 == 2, "code `{name}` only")
-        .when(F.col("doc_id") % 6 == 3, "set ={x} and {y}").when(F.col("doc_id") % 6 == 4, "조건 확장 3").otherwise(F.substring("text", 1, 200))
-    )
+    """Forbidden wording in the whole of every text; some is planted behind five sixths of them."""
+    n = F.col("doc_id") % 6
+    planted = F.when(n == 0, "이전  사례").when(n == 1, "fill {name_here} in").when(n == 2, "code `{name}` only").when(n == 3, "set ={x} and {y}").when(n == 4, "조건 확장 3")
+    text = F.concat_ws("\n", "text", planted)
     v = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.lit("questions").alias("field"), F.lit(0).alias("idx"), text.alias("text"))
     return quality.forbidden_findings(v).select("id", "rule")
 
