@@ -3,10 +3,11 @@
 Candidate blocks are the lines (with their neighbours' text joined while a
 notice runs on) that hold a license word. Each block is compressed alone and
 with each template as a zstandard raw dictionary; templates are ranked by how
-much smaller the dictionary makes the block. The best few are confirmed by
+much smaller the dictionary makes the block. In that order each is confirmed by
 exact wording: the template's words are aligned with the block's, and the
 words that differ are counted. A license is found if at most ``MAX_DIFF`` of
-the template's words are missing or changed.
+the template's words are missing or changed. The ranking drops no template:
+in prose, long notices save more by common words than a short one that stands.
 
 Templates are notices, (id, wording); callers pass their own list for more.
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -50,8 +52,6 @@ HINTS = re.compile(r"licen[cs]|rights reserved|permission is hereby|redistributi
 WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*").findall
 #: Characters around a hint that a window of a long line keeps on each side.
 REACH = 300
-#: Templates that are confirmed by wording, best reduction first.
-RANKED = 3
 #: Share of a template's words that may differ.
 MAX_DIFF = 0.1
 
@@ -114,12 +114,12 @@ class Scanner:
         free = [(0, len(words))]
         while free:
             a, b = free.pop()
-            # the ranking of what is left of the block decides which templates are read word by word
+            # the ranking of what is left of the block; among equally good wordings its order decides
             own = ranked if (a, b) == (0, len(words)) else self.reductions(low[spans[a][0] : spans[b - 1][1]]) if b > a else []
             best = None
-            for gain, k in own[:RANKED] if b - a <= 40 else own[: 2 * RANKED]:
+            for gain, k in own:
                 name, _, template = self.templates[k]
-                if gain <= 0 or not template:
+                if not template:
                     continue
                 diff, _, x, y = self._nearest(template, words[a:b])
                 if diff <= MAX_DIFF * len(template) and (best is None or (diff / len(template), -len(template)) < best[0]):
@@ -130,16 +130,22 @@ class Scanner:
         return sorted(out, key=lambda r: (r[3], r[0]))
 
     def _nearest(self, template: list[str], words: list[str]) -> tuple[int, int, int, int]:
-        """``wording`` at each place where the template could start, best kept."""
-        if len(words) <= 2 * len(template):
-            return self.wording(template, words)
-        anchors = [k for k, w in enumerate(words) if w in template[:2]]
-        best = (len(template), len(template), 0, 0)
-        for k in anchors:
-            part = words[k : k + len(template) + 4]
-            got = self.wording(template, part)
-            if got[0] < best[0]:
-                best = (got[0], got[1], k + got[2], k + got[3])
+        """``wording`` at each place where the template could start, best kept.
+
+        At most ``spare`` words are missing or added, so the first word in
+        place is one of the template's first, and so long is the place.
+        """
+        size, spare = len(template), int(MAX_DIFF * len(template))
+        heads, need = set(template[: spare + 1]), Counter(template)
+        best = (size, size, 0, 0)
+        for k in [k for k, w in enumerate(words) if w in heads]:
+            for n in range(size - spare, size + spare + 1):
+                part = words[k : k + n]
+                if (need & Counter(part)).total() < size - spare:
+                    continue
+                got = self.wording(template, part)
+                if got[0] < best[0]:
+                    best = (got[0], got[1], k + got[2], k + got[3])
         return best
 
     def scan(self, texts: list[str]) -> list[list[tuple[str, float, int, int]]]:
