@@ -1,7 +1,7 @@
 """License scans by conditional compression.
 
-Candidate blocks are the lines (with their neighbours' text joined while a
-notice runs on) that hold a license word. Each block is compressed alone and
+Candidate blocks reach ``REACH`` characters to both sides of a license word,
+over line ends (a notice may be wrapped), and are joined where they touch. Each block is compressed alone and
 with each template as a zstandard raw dictionary; templates are ranked by how
 much smaller the dictionary makes the block. In that order each is confirmed by
 exact wording: the template's words are aligned with the block's, and the
@@ -14,7 +14,8 @@ Templates are notices, (id, wording); callers pass their own list for more.
 Edge cases: null or empty text has no blocks and finds nothing; a document
 with several notices lists each, ordered by position; equal notices are found
 each time they stand; repeated rows give repeated rows; a null doc_id is kept;
-very long lines are cut into overlapping windows around their license words.
+line ends, comment signs and indentation are no words, so a wrapped notice is
+the notice; a template longer than ``REACH`` widens the blocks.
 """
 
 from __future__ import annotations
@@ -47,23 +48,23 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
     ("proprietary", "All rights reserved."),
 ]
-#: Words that make a line a candidate, in lower case.
-HINTS = re.compile(r"licen[cs]|rights reserved|permission is hereby|redistribution and use|public domain|spdx|copyright|warrant|\bgnu\b|\bcc[ -](?:by|0)|creative commons")
+#: Words that make a text's part a candidate, in lower case; a line may end between them.
+HINTS = re.compile(r"licen[cs]|rights\W+reserved|permission\W+is\W+hereby|redistribution\W+and\W+use|public\W+domain|spdx|copyright|warrant|\bgnu\b|\bcc\W+(?:by|0)|creative\W+commons")
 WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*").findall
-#: Characters around a hint that a window of a long line keeps on each side.
+#: Characters around a hint that a block keeps on each side, at least.
 REACH = 300
+#: Characters that a wrapped notice may have for each of its wording's.
+WRAPPED = 2
 #: Share of a template's words that may differ.
 MAX_DIFF = 0.1
 
 
-def blocks(text: str) -> list[tuple[int, str]]:
-    """(position, block) of the candidates: windows around hints, joined where they touch."""
+def blocks(text: str, reach: int = REACH) -> list[tuple[int, str]]:
+    """(position, block) of the candidates: windows around hints, over line ends, joined where they touch."""
     low = text.lower()
     spans: list[list[int]] = []
     for m in HINTS.finditer(low):
-        a = max(low.rfind("\n", 0, m.start()) + 1, m.start() - REACH)
-        end = low.find("\n", m.end())
-        b = min(len(low) if end < 0 else end, m.end() + REACH)
+        a, b = max(0, m.start() - reach), min(len(low), m.end() + reach)
         if spans and a <= spans[-1][1]:
             spans[-1][1] = max(b, spans[-1][1])
         else:
@@ -78,6 +79,7 @@ class Scanner:
         import zstandard
 
         self.templates = [(name, wording, WORD(wording.lower())) for name, wording in templates]
+        self.reach = max([REACH, *(WRAPPED * len(w) for _, w, _ in self.templates)])
         self.plain = zstandard.ZstdCompressor(level=19)
         self.with_template = [
             zstandard.ZstdCompressor(level=19, dict_data=zstandard.ZstdCompressionDict(w.lower().encode("utf-8"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for _, w, _ in self.templates
@@ -149,7 +151,7 @@ class Scanner:
         return best
 
     def scan(self, texts: list[str]) -> list[list[tuple[str, float, int, int]]]:
-        found = [blocks(t) for t in texts]
+        found = [blocks(t, self.reach) for t in texts]
         have = self.blocks.fill({b for f in found for _, b in f})
         return [[(name, gain, diff, at + offset) for at, b in f for name, gain, diff, offset in have[b]] for f in found]
 
