@@ -34,8 +34,8 @@ Z = 4.5
 MARGIN = 0.03
 BYTES = 0.25
 ENTROPY = 0.3
-#: A language with fewer than one document in so many shares its band with all other rare ones.
-COMMON = 1000
+#: Bands up to so many are broadcast; more of them are joined by a shuffle.
+BROADCAST_BANDS = 64_000
 #: Medians are exact on values rounded to one part in STEPS.
 STEPS = 2000
 SYMBOLS = "#*$%&|<>"
@@ -150,10 +150,15 @@ def _median(rows: DataFrame, keys: list[str], value: str, name: str) -> DataFram
     return ranked.where(F.col("_upto") * 2 >= F.col("_all")).groupBy(*keys).agg((F.min("_bin") / STEPS).alias(name))
 
 
+def _small(bands: DataFrame) -> DataFrame:
+    """A stored table, to be broadcast where it proves small."""
+    return F.broadcast(bands) if bands.count() <= BROADCAST_BANDS else bands.hint("merge")
+
+
 def judged(rows: DataFrame, names: dict[str, str], lang: str) -> DataFrame:
     """Add base_failed, kept and the band's values to stored, measured documents."""
     c = {k: F.col(v) for k, v in names.items()}
-    out = free_names(rows.columns, ["base_failed", "kept", "_lang", "_class", "_bytes", "_center", "_spread", "_byte_center", "_entropy_center", "_n"])
+    out = free_names(rows.columns, ["base_failed", "kept", "_lang", "_class", "_bytes", "_center", "_spread", "_byte_center", "_entropy_center"])
     failed = (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
     rows = (
         rows.withColumn(out["base_failed"], failed)
@@ -162,9 +167,6 @@ def judged(rows: DataFrame, names: dict[str, str], lang: str) -> DataFrame:
         .withColumn(out["_bytes"], F.try_divide(c["n_byte_tokens"], c["n_tokens"]))
     )
     keys = [out["_lang"]]
-    # at most COMMON languages, so at most 64 * COMMON bands: they are broadcast, and no text is shuffled
-    common = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(out["_n"])).where(F.col(out["_n"]) * COMMON >= rows.count())
-    rows = rows.join(F.broadcast(common), keys, "left").withColumn(out["_lang"], F.when(F.col(out["_n"]).isNotNull(), F.col(out["_lang"])).otherwise(""))
     good = rows.where(~F.col(out["base_failed"]))
     center = _median(good, keys, names["word_fertility"], out["_center"])
     bytes_ = _median(good, keys, out["_bytes"], out["_byte_center"])
@@ -172,8 +174,10 @@ def judged(rows: DataFrame, names: dict[str, str], lang: str) -> DataFrame:
     # variances are summed as whole numbers: the sum doesn't depend on order
     weight = F.sum(F.round(c["word_variance"] * c["n_words"] * 1000).cast("long")) / F.sum(c["n_words"]) / 1000
     spread = good.groupBy(*keys).agg(F.sqrt(weight).alias(out["_spread"]))
-    bands = center.join(spread, keys, "left").join(bytes_, keys, "left")
-    with_bands = rows.join(F.broadcast(bands), keys, "left").join(F.broadcast(entropy), [*keys, out["_class"]], "left")
+    # every language has its own bands; they are stored and counted, so texts are shuffled only if the bands are too many to broadcast
+    bands = _small(stored(center.join(spread, keys, "left").join(bytes_, keys, "left"), "bands"))
+    entropy = _small(stored(entropy, "entropy-bands"))
+    with_bands = rows.join(bands, keys, "left").join(entropy, [*keys, out["_class"]], "left")
     mid = F.col(out["_center"])
     low = mid - F.greatest(mid * MARGIN, Z * F.col(out["_spread"]) / F.sqrt(F.greatest(c["n_words"], F.lit(1))))
     rejected = (c["word_fertility"] < low) | (F.col(out["_bytes"]) > F.col(out["_byte_center"]) + BYTES) | (c["entropy"] < F.col(out["_entropy_center"]) - ENTROPY)
