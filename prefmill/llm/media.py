@@ -30,10 +30,11 @@ from pyspark.sql import functions as F
 from prefmill.llm.util import arrow_map, fresh_dir, slices, stored, texts_of
 
 BLOCK = 64
-MIN_CHUNK = 16 << 10
-#: Upper bits of the hash that are zero at a cut: a cut each 64 KiB on average.
-CUT_BITS = 16
-MAX_CHUNK = 256 << 10
+#: On the scale of texts, so that passages which documents share are shared chunks.
+MIN_CHUNK = 256
+#: Upper bits of the hash that are zero at a cut: a cut each KiB on average.
+CUT_BITS = 10
+MAX_CHUNK = 8 << 10
 LEVEL = 6
 
 
@@ -61,7 +62,7 @@ def cuts(data: bytes) -> list[int]:
     marks = np.flatnonzero(gear_hashes(data) >> np.uint32(32 - CUT_BITS) == 0) + 1
     out, at = [], 0
     while n - at > MIN_CHUNK:
-        k = np.searchsorted(marks, at + MIN_CHUNK)
+        k = np.searchsorted(marks, at + MIN_CHUNK, side="right")
         end = min(int(marks[k]) if k < len(marks) else n, at + MAX_CHUNK, n)
         out.append(end)
         at = end
