@@ -44,8 +44,8 @@ EDGES: dict[str, list[float]] = {
     "section_blocked": [0.05, 0.2, 0.35, 0.5, 0.65, 0.8, 0.95],
 }
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Suffixes and sections of at least one URL in so many have statistics of their own.
-COMMON = 1000
+#: Statistics of up to so many suffixes or sections are broadcast; more of them are joined by a shuffle.
+BROADCAST_KEYS = 10_000
 #: Gradients are summed as multiples of 1 / SCALE.
 SCALE = 1_000_000
 
@@ -97,16 +97,18 @@ def _with_statistics(rows: DataFrame) -> DataFrame:
     """Add each suffix's share of all URLs and the smoothed blocked share of suffix and section.
 
     Statistics are taken over all rows, pre-aggregated; only the labelled count
-    for the blocked shares. A suffix or section of fewer than one URL in
-    ``COMMON`` has the overall share: what is broadcast has at most ``COMMON``
-    rows, whatever the input.
+    for the blocked shares. They are stored and counted, and broadcast only
+    where they prove small. A section without labelled URLs has the overall
+    share, so only the others are joined.
     """
     blocked, known = F.count_if(F.col("_verdict") == "block"), F.count("_verdict")
     total = rows.agg(F.count(F.lit(1)).alias("n"), blocked.alias("b"), known.alias("k")).first()
     prior = (total["b"] + 1) / (total["k"] + 2)
     for key, name, share in (("_suffix", "suffix_blocked", "suffix_share"), ("_section", "section_blocked", None)):
-        stats = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), blocked.alias("_b"), known.alias("_k")).where(F.col("_n") * COMMON >= total["n"])
-        rows = rows.join(F.broadcast(stats), key, "left").withColumn(name, F.coalesce((F.col("_b") + 10 * prior) / (F.col("_k") + 10), F.lit(prior)))
+        stats = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), blocked.alias("_b"), known.alias("_k"))
+        stats = stored(stats if share else stats.where("_k > 0"), "statistics")
+        stats = F.broadcast(stats) if stats.count() <= BROADCAST_KEYS else stats.hint("merge")
+        rows = rows.join(stats, key, "left").withColumn(name, F.coalesce((F.col("_b") + 10 * prior) / (F.col("_k") + 10), F.lit(prior)))
         if share:
             rows = rows.withColumn(share, F.coalesce(F.col("_n") / max(1, total["n"]), F.lit(0.0)))
         rows = rows.drop("_n", "_b", "_k")

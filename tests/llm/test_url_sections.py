@@ -1,0 +1,20 @@
+import pytest
+
+from prefmill.llm import url_filter
+from prefmill.llm.url_filter import _with_statistics
+from prefmill.llm.util import shared_dir
+
+
+@pytest.mark.parametrize("broadcast", [10_000, 0])
+def test_rare_sections_and_suffixes_have_their_labelled_counts(spark, monkeypatch, broadcast):
+    shared_dir(spark)
+    monkeypatch.setattr(url_filter, "BROADCAST_KEYS", broadcast, raising=False)
+    rows = [("com", f"/s{k}", "allow") for k in range(3000)] + [("rare", "/bad", "block")] * 2 + [("com", "/none", None)]
+    df = spark.createDataFrame(rows, "_suffix string, _section string, _verdict string")
+    got = {(r["_suffix"], r["_section"]): r for r in _with_statistics(df).collect()}
+    prior = 3 / 3004
+    assert _with_statistics(df).count() == len(rows)
+    assert got["rare", "/bad"].section_blocked == pytest.approx((2 + 10 * prior) / 12) == got["rare", "/bad"].suffix_blocked
+    assert got["com", "/s7"].section_blocked == pytest.approx(10 * prior / 11)
+    assert got["com", "/none"].section_blocked == pytest.approx(prior)
+    assert got["rare", "/bad"].suffix_share == pytest.approx(2 / 3003)
