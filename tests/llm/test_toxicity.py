@@ -1,9 +1,12 @@
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pytest
 
-from prefmill.llm.toxicity import Model, clean_documents, fit, forms, held_out, toxicity
+from prefmill.llm.toxicity import Model, bag, clean_documents, fit, forms, held_out, toxicity
+from prefmill.session import table
 
 BAD = ["idiotic", "scummy", "trashy"]
 
@@ -53,6 +56,31 @@ def test_score_is_the_noisy_or_of_its_sentences():
     assert len(m.sentences(text)) == 4 and m.sentences("") == [("", m.sentences("")[0][1])]
 
 
+def test_held_out_recall(spark, docs):
+    """Measured: 88 of 97 at precision 0.989; 7 of the 9 missed texts have no offending word at all."""
+    sf = Path("/root/testdata/sf0.1")
+    if not sf.exists():
+        pytest.skip("the driver's tables are not here")
+    labels = table(spark, str(sf), "labels")
+    rows = toxicity(table(spark, str(sf), "documents"), labels).where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    caught = sum(r.predicted and r.toxic for r in rows)
+    assert caught >= 0.9 * sum(r.toxic for r in rows) and caught >= 0.96 * sum(r.predicted for r in rows)
+
+
+def test_words_near_each_other_share_their_beginning():
+    got = list(bag("badly one. two. badness badly", lambda w: True))
+    assert "badl**" not in got[0] and got[1] == {"two"}
+    assert "badl**" in got[2] and "badn**" not in got[2]
+    assert list(bag("", lambda w: True)) == [set()]
+
+
+def test_several_texts_of_one_id_do_not_depend_on_order(spark, docs):
+    d, l, _, _ = corpus(spark, 100)
+    twice = d.union(d.selectExpr("doc_id", "concat('x ', text)", "score"))
+    a, b = fit(twice, l), fit(twice.orderBy("text").repartition(5), l)
+    assert (a.bias, a.weights) == (b.bias, b.weights)
+
+
 def test_edges(spark, docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 1), (2, 1, None), (None, 1, 1), (6, 1, 0), (6, 1, 1)], "doc_id long, quality int, toxic int")
     out = toxicity(docs, labels)
