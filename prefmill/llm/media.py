@@ -2,16 +2,28 @@
 
 A rolling gear hash over the last 32 bytes cuts a payload where its upper bits
 are zero, between ``MIN_CHUNK`` and ``MAX_CHUNK`` bytes. Equal chunks have
-equal SHA-256 digests; the chunk table keeps one row a digest (aggregated
-before and after one shuffle, and anti-joined with chunks stored before), with
-the chunk as a zstandard frame. A payload's stored form is its ordered chunk
-list followed by the frames. A medium whose payload is one chunk is verified
-where the chunk lies; only parts of longer media are joined to their lists and
-streamed in order, so no task holds more than one chunk of a payload.
+equal SHA-256 digests; each is stored once, as a zstandard frame. A payload's
+stored form is its ordered chunk list followed by the frames.
+
+No frame is shuffled but those that texts of several packs share:
+
+1. A narrow pass writes frames into packs (files of about ``PACK_BYTES`` in the
+   shared folder, each chunk once a pack) and returns the chunk lists.
+2. Spark joins and aggregations on (digest, pack, place) choose one place for
+   every digest, none for digests that an earlier index has (``before``).
+3. Each pack is rewritten with the chosen frames alone; the index says where.
+4. Every medium is read back through its list: chunks of its own pack from that
+   file, others fetched from theirs and dealt by pack. Digests are verified.
+
+A task holds one pack and the chunks that its texts share with others, at most
+what its texts' chunks need. Pack names are fresh with each attempt and the
+rewriting is a rename of a file that depends on the index alone, so tasks may
+run again. Packs are opened by ``util.file_system``.
 
 Edge cases: null text is the empty text, whose payload is 64 zero bytes; equal
 texts share one medium; repeated rows give repeated rows; a null doc_id is
-kept; an empty table gives an empty result.
+kept; an empty table gives an empty result; a chunk that is missing from the
+store raises.
 """
 
 from __future__ import annotations
@@ -19,6 +31,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefmill.llm.util import arrow_map, fresh_dir, slices, stored, texts_of
+from prefmill.llm.util import arrow_map, discard, file_system, fresh_dir, groups, slices, stored, texts_of
 
 BLOCK = 64
 #: On the scale of texts, so that passages which documents share are shared chunks.
@@ -36,6 +49,9 @@ MIN_CHUNK = 256
 CUT_BITS = 10
 MAX_CHUNK = 8 << 10
 LEVEL = 6
+#: Bytes of frames, and of payloads, after which a pack is closed (a text is never split between packs).
+PACK_BYTES = 16 << 20
+PACK_PAYLOAD = 64 << 20
 
 
 @functools.lru_cache(maxsize=1)
@@ -140,96 +156,239 @@ def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(cols, fields, strict=True)], names=[n for n, _ in fields])
 
 
-def manifest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, media_id (digest of the payload) and its chunks; narrow."""
-    fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("media_id", pa.binary()), ("digests", pa.list_(pa.binary())), ("lengths", pa.list_(pa.int32()))]
+def _name(base: str, pack: int, kind: str) -> str:
+    return f"{base}/{pack:016x}.{kind}"
+
+
+LISTS = [
+    ("pack", pa.int64()),
+    ("media_id", pa.binary()),
+    ("docs", pa.list_(pa.struct([("doc_id", pa.int64()), ("n_bytes", pa.int64())]))),
+    ("digests", pa.list_(pa.binary())),
+    ("sizes", pa.list_(pa.int32())),
+    ("places", pa.list_(pa.int64())),
+    ("stored", pa.list_(pa.int32())),
+]
+LISTS_SQL = "pack long, media_id binary, docs array<struct<doc_id: long, n_bytes: long>>, digests array<binary>, sizes array<int>, places array<long>, stored array<int>"
+
+
+class PackWriter:
+    """Frames one after another in a file, each chunk once, and the lists of its media."""
+
+    def __init__(self, fs, base: str):
+        import zstandard
+
+        self.pack = uuid.uuid4().int >> 65
+        self.out = fs.open_output_stream(_name(base, self.pack, "pack"))
+        self.compress = zstandard.ZstdCompressor(level=LEVEL, write_content_size=True).compress
+        self.at = self.payloads = 0
+        self.known: set[bytes] = set()
+        self.media: dict[bytes, tuple] = {}
+
+    def add(self, doc_id: int | None, text: str) -> None:
+        n, data = payload(text)
+        media_id = hashlib.sha256(data).digest()
+        row = self.media.get(media_id)
+        if row is None:
+            row = self.media[media_id] = ([], [], [], [], [])
+            parts = chunked(data)
+            for part in parts:
+                digest = media_id if len(parts) == 1 else hashlib.sha256(part).digest()
+                place, frame = -1, b""
+                if digest not in self.known:
+                    self.known.add(digest)
+                    place, frame = self.at, self.compress(part)
+                    self.out.write(frame)
+                    self.at += len(frame)
+                for column, x in zip(row[1:], (digest, len(part), place, len(frame)), strict=True):
+                    column.append(x)
+        row[0].append({"doc_id": doc_id, "n_bytes": n})
+        self.payloads += len(data)
+
+    def full(self) -> bool:
+        return self.at >= PACK_BYTES or self.payloads >= PACK_PAYLOAD
+
+    def close(self) -> pa.RecordBatch:
+        self.out.close()
+        return _batch([(self.pack, media_id, *row) for media_id, row in self.media.items()], LISTS)
+
+
+def packed(docs: DataFrame, folder: str) -> DataFrame:
+    """Write packs; a row a medium and pack: its documents, its chunk list, and the places of chunks new to the pack."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = file_system(folder)
+        writer = None
         for batch in slices(batches):
-            rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                n, data = payload(text)
-                parts = chunked(data)
-                media_id = hashlib.sha256(data).digest()
-                digests = [media_id] if len(parts) == 1 else [hashlib.sha256(p).digest() for p in parts]
-                rows.append((doc_id, n, media_id, digests, [len(p) for p in parts]))
-            yield _batch(rows, fields)
+                writer = writer or PackWriter(fs, base)
+                writer.add(doc_id, text)
+                if writer.full():
+                    yield writer.close()
+                    writer = None
+        if writer:
+            yield writer.close()
 
-    return arrow_map(texts_of(docs), run, "doc_id long, n_bytes long, media_id binary, digests array<binary>, lengths array<int>")
+    return arrow_map(texts_of(docs), run, LISTS_SQL)
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """digest, whole (a payload by itself), part (of a longer one), size, frame: one row a digest."""
-    fields = [("digest", pa.binary()), ("whole", pa.bool_()), ("part", pa.bool_()), ("size", pa.int32()), ("frame", pa.binary())]
+INDEX_SQL = "digest binary, pack long, place long, stored int, size int"
+INDEX = [("digest", pa.binary()), ("pack", pa.int64()), ("place", pa.int64()), ("stored", pa.int32()), ("size", pa.int32())]
+
+
+def chosen(lists: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """One place for every digest that an earlier index doesn't have yet."""
+    found = lists.select("pack", F.explode(F.arrays_zip("digests", "places", "stored", "sizes")).alias("c")).where("c.places >= 0")
+    found = found.groupBy(F.col("c.digests").alias("digest")).agg(
+        F.min(F.struct("pack", F.col("c.places").alias("place"), F.col("c.stored").alias("stored"), F.col("c.sizes").alias("size"))).alias("c")
+    )
+    found = found.select("digest", "c.*")
+    return found if before is None else found.join(before.select("digest"), "digest", "left_anti")
+
+
+def compacted(live: DataFrame, folder: str, tasks: int) -> DataFrame:
+    """Rewrite each pack with its chosen frames alone; returns the index with the new places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
+        fs, base = file_system(folder)
+        for pack, rows in _runs(batches, "pack"):
+            places, sizes = rows.column("place").to_pylist(), rows.column("stored").to_pylist()
+            old, new = _name(base, pack, "pack"), _name(base, pack, "live")
+            if not _exists(fs, new):  # else an earlier attempt got that far
+                temp = f"{base}/{uuid.uuid4().hex}.temp"
+                with fs.open_input_file(old) as f, fs.open_output_stream(temp) as out:
+                    for place, size in zip(places, sizes, strict=True):
+                        f.seek(place)
+                        out.write(f.read(size))
+                fs.move(temp, new)
+                fs.delete_file(old)
+            moved = np.cumsum(sizes) - np.array(sizes)
+            yield pa.RecordBatch.from_arrays([rows.column("digest"), rows.column("pack"), pa.array(moved, pa.int64()), rows.column("stored"), rows.column("size")], names=[n for n, _ in INDEX])
 
-        compress = zstandard.ZstdCompressor(level=LEVEL, write_content_size=True).compress
-        for batch in slices(batches):
-            found: dict[tuple[bytes, bool], bytes] = {}
-            for text in batch.column("text").to_pylist():
-                parts = chunked(payload(text)[1])
-                for p in parts:
-                    found.setdefault((hashlib.sha256(p).digest(), len(parts) == 1), p)
-            yield _batch([(d, whole, not whole, len(p), compress(p)) for (d, whole), p in found.items()], fields)
+    return arrow_map(live.repartition(tasks, "pack").sortWithinPartitions("pack", "place"), run, INDEX_SQL)
 
-    rows = arrow_map(texts_of(docs), run, "digest binary, whole boolean, part boolean, size int, frame binary")
-    return rows.groupBy("digest").agg(F.max("whole").alias("whole"), F.max("part").alias("part"), F.first("size").alias("size"), F.first("frame").alias("frame"))
 
+def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.RecordBatch]]:
+    for (k,), rows in groups(batches, [key]):
+        yield k, rows.combine_chunks().to_batches()[0]
 
-def new_chunks(found: DataFrame, before: DataFrame | None) -> DataFrame:
-    """Chunks that an earlier table doesn't have yet."""
-    return found if before is None else found.join(before.select("digest"), "digest", "left_anti")
 
+def _exists(fs, name: str) -> bool:
+    from pyarrow import fs as pafs
 
-def rebuilt(lists: DataFrame, store: DataFrame) -> DataFrame:
-    """A row a medium, from stored chunks: those of one chunk in place, the others by their lists."""
+    return fs.get_file_info(name).type != pafs.FileType.NotFound
 
-    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "frame"):
-            rows = []
-            for digest, size, frame in zip(*(batch.column(c).to_pylist() for c in ("digest", "size", "frame")), strict=True):
-                r = Readback([(digest, size)])
-                r.add(digest, frame)
-                rows.append(r.row(digest))
-            yield _batch(rows, MEDIA)
 
-    alone = arrow_map(store.where("whole").select("digest", "size", "frame"), single, MEDIA_SQL)
-    long = lists.where(F.size("digests") > 1).select("media_id", "digests", "lengths").dropDuplicates(["media_id"])
-    places = long.select("media_id", F.posexplode(F.arrays_zip("digests", "lengths")).alias("position", "c"), F.when(F.col("position") == 0, F.struct("digests", "lengths")).alias("list"))
-    placed = places.select("media_id", "position", F.col("c.digests").alias("digest"), "list").join(store.where("part").select("digest", "frame"), "digest")
-    placed = placed.repartition("media_id").sortWithinPartitions("media_id", "position")
+def put(docs: DataFrame, folder: str, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Store the documents' payloads; (chunk lists, index of the chunks that are new).
 
-    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, media_id = None, None
+    The index is appended to ``folder``/index; ``before`` is what an earlier
+    run left there. One run at a time may write into a folder.
+    """
+    fs, base = file_system(folder)
+    fs.create_dir(base, recursive=True)
+    lists = stored(packed(docs, folder), "chunk-lists")
+    live = stored(chosen(lists, before), "live-chunks")
+    index = stored(compacted(live, folder, _tasks(lists)), "chunk-index")
+    discard(live)
+    index.write.mode("append").parquet(f"{folder}/index")
+    from pyarrow import fs as pafs
+
+    for info in fs.get_file_info(pafs.FileSelector(base)):  # packs without a chosen frame, and those of failed attempts
+        if info.extension in ("pack", "temp"):
+            fs.delete_file(info.path)
+    return lists, index
+
+
+def _tasks(lists: DataFrame) -> int:
+    """Tasks for work by pack: about four packs each, and no fewer than the session's shuffle partitions."""
+    packs = lists.agg(F.approx_count_distinct("pack")).first()[0]
+    return max(int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions")), packs // 4)
+
+
+def chunks(docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """The index of the documents' chunks: digest, pack, place, stored (bytes of the frame), size; one row a digest."""
+    return put(docs, folder or fresh_dir(docs.sparkSession, "chunks"))[1]
+
+
+def savings(lists: DataFrame, index: DataFrame) -> DataFrame:
+    """payload_bytes of all documents, of distinct media, of the chunks, and stored_bytes of their frames."""
+    sizes = F.aggregate("sizes", F.lit(0).cast("long"), lambda acc, x: acc + x)
+    every = lists.agg(F.sum(sizes * F.size("docs")).alias("payload_bytes"))
+    media = lists.groupBy("media_id").agg(F.max(sizes).alias("n")).agg(F.sum("n").alias("distinct_media_bytes"))
+    return every.crossJoin(media).crossJoin(index.agg(F.sum("size").alias("chunk_bytes"), F.sum("stored").alias("stored_bytes")))
+
+
+def rebuilt(lists: DataFrame, index: DataFrame, folder: str) -> DataFrame:
+    """A row a medium, read back from the store by its list."""
+    media = lists.groupBy("media_id").agg(F.min_by(F.struct("digests", "sizes"), "pack").alias("list"), F.min("pack").alias("home"))
+    media = stored(media.select("home", "media_id", "list.*"), "media")
+    tasks = _tasks(lists)
+    needs = media.select("home", F.explode("digests").alias("digest")).distinct()
+    located = needs.join(index.select("digest", "pack", "place", "stored"), "digest")
+    near = located.where("pack = home").select("home", "digest", "place", "stored", F.lit(None).cast("binary").alias("frame"))
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = file_system(folder)
+        pack, f = None, None
         for batch in batches:
-            for k in range(batch.num_rows):
-                own = batch.column("media_id")[k].as_py()
-                if batch.column("position")[k].as_py() == 0:
-                    if now is not None:
-                        yield _batch([now.row(media_id)], MEDIA)
-                    parts = batch.column("list")[k].as_py()
-                    now, media_id = Readback(list(zip(parts["digests"], parts["lengths"], strict=True))), own
-                now.add(batch.column("digest")[k].as_py(), batch.column("frame")[k].as_py())
-        if now is not None:
-            yield _batch([now.row(media_id)], MEDIA)
-
-    return alone.union(arrow_map(placed, several, MEDIA_SQL))
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                frames = []
+                for p, place, size in zip(*(part.column(c).to_pylist() for c in ("pack", "place", "stored")), strict=True):
+                    if p != pack:
+                        if f:
+                            f.close()
+                        pack, f = p, fs.open_input_file(_name(base, p, "live"))
+                    f.seek(place)
+                    frames.append(f.read(size))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("home", "digest", "place", "stored")), pa.array(frames, pa.binary())], names=["home", "digest", "place", "stored", "frame"])
+        if f:
+            f.close()
+
+    # a pack that everyone needs is read by several tasks
+    far = located.where("pack <> home").repartition(tasks, "pack", F.pmod(F.xxhash64("home"), F.lit(16))).sortWithinPartitions("pack", "place")
+    far = arrow_map(far.select("home", "digest", "pack", "place", "stored"), fetch, "home long, digest binary, place long, stored int, frame binary")
+    nothing = [F.lit(None).cast(k).alias(n) for n, k in (("media_id", "binary"), ("digests", "array<binary>"), ("sizes", "array<int>"))]
+    empty = [F.lit(None).cast(k).alias(n) for n, k in (("digest", "binary"), ("place", "long"), ("stored", "int"), ("frame", "binary"))]
+    frames = near.unionByName(far).select("home", F.lit(0).alias("kind"), "digest", "place", "stored", "frame", *nothing)
+    dealt = frames.unionByName(media.select("home", F.lit(1).alias("kind"), *empty, "media_id", "digests", "sizes"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = file_system(folder)
+        home, have, local = None, {}, b""
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                rows = []
+                part = batch.slice(at, 2048)
+                for own, kind, digest, place, size, frame, media_id, digests, sizes in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    if own != home:
+                        home, have, local = own, {}, b""
+                    if kind == 0:
+                        if frame is None:
+                            if not local:
+                                with fs.open_input_file(_name(base, own, "live")) as f:
+                                    local = f.read()
+                            frame = (place, size)
+                        have[digest] = frame
+                        continue
+                    now = Readback(list(zip(digests, sizes, strict=True)))
+                    for d in digests:
+                        frame = have[d]
+                        now.add(d, local[frame[0] : frame[0] + frame[1]] if isinstance(frame, tuple) else frame)
+                    rows.append(now.row(media_id))
+                yield _batch(rows, MEDIA)
+
+    return arrow_map(dealt.repartition(tasks, "home").sortWithinPartitions("home", "kind"), read, MEDIA_SQL)
 
 
 def media_columns(docs: DataFrame, folder: str | None = None, before: DataFrame | None = None) -> DataFrame:
     """Store the documents' payloads and return what reading them back gives.
 
-    Two scans of the texts; the compressed chunks are shuffled once.
+    ``before`` is the index that earlier runs left in ``folder``.
     """
-    spark = docs.sparkSession
-    folder = folder or fresh_dir(spark, "chunks")
-    lists = stored(manifest(docs), "chunk-lists")
-    found = new_chunks(chunks(docs), before)
-    found.write.option("compression", "none").partitionBy("part").parquet(folder)
-    store = spark.read.schema("digest binary, whole boolean, size int, frame binary, part boolean").parquet(folder)
-    if before is not None:
-        store = store.unionByName(before.select(*store.columns))
-    media = rebuilt(lists, store)
-    return lists.select("doc_id", "n_bytes", "media_id").join(media, "media_id").drop("media_id")
+    folder = folder or fresh_dir(docs.sparkSession, "chunks")
+    lists, index = put(docs, folder, before)
+    media = rebuilt(lists, index if before is None else index.unionByName(before.select(*index.columns)), folder)
+    # copies meet as one row a pack, so a popular medium has few rows here
+    return lists.select("media_id", "docs").join(media, "media_id").select(F.inline("docs"), *[n for n, _ in MEDIA[1:]])
