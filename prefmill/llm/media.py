@@ -12,8 +12,9 @@ No frame is shuffled but those that texts of several packs share:
 2. Spark joins and aggregations on (digest, pack, place) choose one place for
    every digest, none for digests that an earlier index has (``before``).
 3. Each pack is rewritten with the chosen frames alone; the index says where.
-4. Every medium is read back through its list: chunks of its own pack from that
-   file, others fetched from theirs and dealt by pack. Digests are verified.
+4. Every medium of a pack is read back through its list: chunks of its own pack
+   from that file, others fetched from theirs and dealt by pack. Digests are
+   verified. Copies in one pack are one medium with several documents.
 
 A task holds one pack and the chunks that its texts share with others, at most
 what its texts' chunks need. Pack names are fresh with each attempt and the
@@ -282,22 +283,22 @@ def _exists(fs, name: str) -> bool:
 def put(docs: DataFrame, folder: str, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Store the documents' payloads; (chunk lists, index of the chunks that are new).
 
-    The index is appended to ``folder``/index; ``before`` is what an earlier
-    run left there. One run at a time may write into a folder.
+    The index is added to ``folder``/index; ``before`` is what earlier runs
+    left there. One run at a time may write into a folder.
     """
     fs, base = file_system(folder)
     fs.create_dir(base, recursive=True)
     lists = stored(packed(docs, folder), "chunk-lists")
     live = stored(chosen(lists, before), "live-chunks")
-    index = stored(compacted(live, folder, _tasks(lists)), "chunk-index")
+    run = f"{folder}/index/run={uuid.uuid4().hex}"
+    compacted(live, folder, _tasks(lists)).write.parquet(run)
     discard(live)
-    index.write.mode("append").parquet(f"{folder}/index")
     from pyarrow import fs as pafs
 
     for info in fs.get_file_info(pafs.FileSelector(base)):  # packs without a chosen frame, and those of failed attempts
         if info.extension in ("pack", "temp"):
             fs.delete_file(info.path)
-    return lists, index
+    return lists, lists.sparkSession.read.schema(INDEX_SQL).parquet(run)
 
 
 def _tasks(lists: DataFrame) -> int:
@@ -320,13 +321,17 @@ def savings(lists: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def rebuilt(lists: DataFrame, index: DataFrame, folder: str) -> DataFrame:
-    """A row a medium, read back from the store by its list."""
-    media = lists.groupBy("media_id").agg(F.min_by(F.struct("digests", "sizes"), "pack").alias("list"), F.min("pack").alias("home"))
-    media = stored(media.select("home", "media_id", "list.*"), "media")
+    """A row a medium and pack, read back from the store by its list, with the documents that have it.
+
+    ``index`` has all chunks of the folder, those of earlier runs too.
+    """
     tasks = _tasks(lists)
-    needs = media.select("home", F.explode("digests").alias("digest")).distinct()
-    located = needs.join(index.select("digest", "pack", "place", "stored"), "digest")
-    near = located.where("pack = home").select("home", "digest", "place", "stored", F.lit(None).cast("binary").alias("frame"))
+    own = lists.select(F.col("pack").alias("home")).distinct()
+    places = index.select("digest", "pack", "place", "stored")
+    near = places.withColumnRenamed("pack", "home").join(own, "home", "left_semi").withColumn("frame", F.lit(None).cast("binary"))
+    # a pack names a digest once where it is new to it
+    needs = lists.select(F.col("pack").alias("home"), F.explode(F.arrays_zip("digests", "places")).alias("c")).where("c.places >= 0")
+    located = needs.select("home", F.col("c.digests").alias("digest")).join(places, "digest")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = file_system(folder)
@@ -349,10 +354,10 @@ def rebuilt(lists: DataFrame, index: DataFrame, folder: str) -> DataFrame:
     # a pack that everyone needs is read by several tasks
     far = located.where("pack <> home").repartition(tasks, "pack", F.pmod(F.xxhash64("home"), F.lit(16))).sortWithinPartitions("pack", "place")
     far = arrow_map(far.select("home", "digest", "pack", "place", "stored"), fetch, "home long, digest binary, place long, stored int, frame binary")
-    nothing = [F.lit(None).cast(k).alias(n) for n, k in (("media_id", "binary"), ("digests", "array<binary>"), ("sizes", "array<int>"))]
+    nothing = [F.lit(None).cast(k).alias(n) for n, k in (("media_id", "binary"), ("digests", "array<binary>"), ("sizes", "array<int>"), ("docs", lists.schema["docs"].dataType))]
     empty = [F.lit(None).cast(k).alias(n) for n, k in (("digest", "binary"), ("place", "long"), ("stored", "int"), ("frame", "binary"))]
     frames = near.unionByName(far).select("home", F.lit(0).alias("kind"), "digest", "place", "stored", "frame", *nothing)
-    dealt = frames.unionByName(media.select("home", F.lit(1).alias("kind"), *empty, "media_id", "digests", "sizes"))
+    dealt = frames.unionByName(lists.select(F.col("pack").alias("home"), F.lit(1).alias("kind"), *empty, "media_id", "digests", "sizes", "docs"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = file_system(folder)
@@ -361,7 +366,7 @@ def rebuilt(lists: DataFrame, index: DataFrame, folder: str) -> DataFrame:
             for at in range(0, batch.num_rows, 2048):
                 rows = []
                 part = batch.slice(at, 2048)
-                for own, kind, digest, place, size, frame, media_id, digests, sizes in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for own, kind, digest, place, size, frame, media_id, digests, sizes, docs in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     if own != home:
                         home, have, local = own, {}, b""
                     if kind == 0:
@@ -376,10 +381,10 @@ def rebuilt(lists: DataFrame, index: DataFrame, folder: str) -> DataFrame:
                     for d in digests:
                         frame = have[d]
                         now.add(d, local[frame[0] : frame[0] + frame[1]] if isinstance(frame, tuple) else frame)
-                    rows.append(now.row(media_id))
-                yield _batch(rows, MEDIA)
+                    rows.append((docs, *now.row(media_id)))
+                yield _batch(rows, [LISTS[2], *MEDIA])
 
-    return arrow_map(dealt.repartition(tasks, "home").sortWithinPartitions("home", "kind"), read, MEDIA_SQL)
+    return arrow_map(dealt.repartition(tasks, "home").sortWithinPartitions("home", "kind"), read, f"docs array<struct<doc_id: long, n_bytes: long>>, {MEDIA_SQL}")
 
 
 def media_columns(docs: DataFrame, folder: str | None = None, before: DataFrame | None = None) -> DataFrame:
@@ -390,5 +395,4 @@ def media_columns(docs: DataFrame, folder: str | None = None, before: DataFrame
     folder = folder or fresh_dir(docs.sparkSession, "chunks")
     lists, index = put(docs, folder, before)
     media = rebuilt(lists, index if before is None else index.unionByName(before.select(*index.columns)), folder)
-    # copies meet as one row a pack, so a popular medium has few rows here
-    return lists.select("media_id", "docs").join(media, "media_id").select(F.inline("docs"), *[n for n, _ in MEDIA[1:]])
+    return media.select(F.inline("docs"), *[n for n, _ in MEDIA[1:]])
