@@ -9,7 +9,7 @@ of an invalid conversation are formatted all the same, and marked.
 The text of one conversation streams through: rows are dealt by conversation,
 sorted by turn, and formatted one after another; digests are carried on, and
 segments leave as they are made. A conversation of any length needs the memory
-of one turn.
+of one turn, or of ``BLOCK`` characters where its output is read back.
 
 Edge cases: null text is the empty text; a null role is the role ''; roles
 that the template lacks are formatted as ``OTHER`` and make the conversation
@@ -154,27 +154,44 @@ def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(cols, fields, strict=True)], names=[n for n, _ in fields])
 
 
+#: Formatted characters that are read back at once; a conversation is written on while blocks of it are read.
+BLOCK = 1 << 16
+
+
 class _Digest:
-    """Reads a conversation's output back, turn by turn."""
+    """Reads a conversation's output back: its string, many turns at a time, and the loss spans as offsets in it."""
 
     def __init__(self, conv: int | None):
         self.conv, self.turns, self.chars, self.loss_chars, self.state = conv, 0, 0, 0, ""
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.block: list[str] = []
+        self.spans: list[tuple[int, int]] = []
+        self.start = 0
 
     def add(self, f: Formatter, made: list[tuple[str, str, bool]]) -> None:
-        formatted = "".join(s for _, s, _ in made)
-        self.chars += len(formatted)
+        for _, s, loss in made:
+            if loss:
+                self.spans.append((self.chars, self.chars + len(s)))
+            self.block.append(s)
+            self.chars += len(s)
+        if self.chars - self.start > BLOCK:
+            self.read(f)
+
+    def read(self, f: Formatter) -> None:
+        """Turns and loss text of the block, from the string and the spans alone."""
+        formatted = "".join(self.block)
         for role, text in f.parse(formatted):
             self.turns += 1
             self.all.update(f"{role}\n{text}\n".encode())
             self.state = f.step(self.state, role)
-        for _, s, loss in made:
-            if loss:
-                raw = f.unescape(s)
-                self.loss_chars += len(raw)
-                self.loss.update(raw.encode("utf-8"))
+        for a, b in self.spans:
+            raw = f.unescape(formatted[a - self.start : b - self.start])
+            self.loss_chars += len(raw)
+            self.loss.update(raw.encode("utf-8"))
+        self.block, self.spans, self.start = [], [], self.chars
 
     def row(self, f: Formatter) -> tuple:
+        self.read(f)
         return self.conv, self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, f.accepts(self.state)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefmill.llm.util import stored
+from prefmill.llm.util import discard, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if got["n"] == 0 or (got["n"], got["h"]) == sign:
             break
         sign = (got["n"], got["h"])
-        now = stored(_small_star(_large_star(now)), "links")
+        last, now = now, stored(_small_star(_large_star(now)), "links")
+        discard(last)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))

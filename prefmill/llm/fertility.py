@@ -12,7 +12,7 @@ language and length class by ``ENTROPY``. Documents that fail the base rules
 do not enter the bands.
 
 Edge cases: null or empty text has no words, fails the base rules and is not
-kept; a null language is a language of its own; a language's only documents
+kept; a null language is a language of its own, as is the empty one; a language's only documents
 are their own band and so kept; repeated rows get equal rows; a null doc_id is
 kept in the result.
 """
@@ -155,14 +155,14 @@ def _small(bands: DataFrame) -> DataFrame:
     return F.broadcast(bands) if bands.count() <= BROADCAST_BANDS else bands.hint("merge")
 
 
-def judged(rows: DataFrame, names: dict[str, str], lang: str) -> DataFrame:
-    """Add base_failed, kept and the band's values to stored, measured documents."""
+def judged(rows: DataFrame, names: dict[str, str], lang: str) -> tuple[DataFrame, dict[str, str]]:
+    """Add base_failed, kept and the band's values to stored, measured documents; returns the names of the added columns too."""
     c = {k: F.col(v) for k, v in names.items()}
     out = free_names(rows.columns, ["base_failed", "kept", "_lang", "_class", "_bytes", "_center", "_spread", "_byte_center", "_entropy_center"])
     failed = (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
     rows = (
         rows.withColumn(out["base_failed"], failed)
-        .withColumn(out["_lang"], F.coalesce(F.col(lang).cast("string"), F.lit("")) if lang in rows.columns else F.lit(""))
+        .withColumn(out["_lang"], F.coalesce(F.concat(F.lit("="), F.col(f"`{lang}`").cast("string")), F.lit("")) if lang in rows.columns else F.lit(""))
         .withColumn(out["_class"], F.coalesce(F.floor(F.log2(F.greatest(c["n_tokens"], F.lit(1)))).cast("int"), F.lit(0)))
         .withColumn(out["_bytes"], F.try_divide(c["n_byte_tokens"], c["n_tokens"]))
     )
@@ -181,9 +181,7 @@ def judged(rows: DataFrame, names: dict[str, str], lang: str) -> DataFrame:
     mid = F.col(out["_center"])
     low = mid - F.greatest(mid * MARGIN, Z * F.col(out["_spread"]) / F.sqrt(F.greatest(c["n_words"], F.lit(1))))
     rejected = (c["word_fertility"] < low) | (F.col(out["_bytes"]) > F.col(out["_byte_center"]) + BYTES) | (c["entropy"] < F.col(out["_entropy_center"]) - ENTROPY)
-    return with_bands.withColumn(out["kept"], ~F.col(out["base_failed"]) & ~F.coalesce(rejected, F.lit(False))).withColumnsRenamed(
-        {out["base_failed"]: "__base_failed", out["kept"]: "__kept"}
-    )
+    return with_bands.withColumn(out["kept"], ~F.col(out["base_failed"]) & ~F.coalesce(rejected, F.lit(False))), out
 
 
 def quality(docs: DataFrame, path: str | None = None, lang: str = "lang") -> DataFrame:
@@ -195,12 +193,13 @@ def quality(docs: DataFrame, path: str | None = None, lang: str = "lang") -> Dat
     )
     rows, names = measured(slim, path)
     rows = stored(rows.drop("text"), "measures")
-    out = judged(rows, names, "lang")
-    return out.select("doc_id", *names.values(), F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
+    out, added = judged(rows, names, "lang")
+    return out.select("doc_id", *names.values(), F.col(added["base_failed"]).alias("base_failed"), F.col(added["kept"]).alias("kept"))
 
 
 def kept_documents(docs: DataFrame, path: str | None = None, lang: str = "lang") -> DataFrame:
     """The documents that the rules keep, with their own columns; no text is shuffled."""
     rows, names = measured(docs, path)
     rows = stored(rows, "measured-documents")
-    return judged(rows, names, lang).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    out, added = judged(rows, names, lang)
+    return out.where(F.col(added["kept"])).select(*[F.col(f"`{c}`") for c in docs.columns])

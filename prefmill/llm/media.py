@@ -241,9 +241,10 @@ def chosen(lists: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """One place for every digest that an earlier index doesn't have yet."""
     found = lists.select("pack", F.explode(F.arrays_zip("digests", "places", "stored", "sizes")).alias("c")).where("c.places >= 0")
     found = found.groupBy(F.col("c.digests").alias("digest")).agg(
-        F.min(F.struct("pack", F.col("c.places").alias("place"), F.col("c.stored").alias("stored"), F.col("c.sizes").alias("size"))).alias("c")
+        # by a hash of digest and pack, so that no pack is chosen for all that many share
+        F.min(F.struct(F.xxhash64("c.digests", "pack").alias("rank"), "pack", F.col("c.places").alias("place"), F.col("c.stored").alias("stored"), F.col("c.sizes").alias("size"))).alias("c")
     )
-    found = found.select("digest", "c.*")
+    found = found.select("digest", "c.pack", "c.place", "c.stored", "c.size")
     return found if before is None else found.join(before.select("digest"), "digest", "left_anti")
 
 

@@ -6,7 +6,9 @@ plan is made from the counts, and each piece finds its place by its rank among
 the pieces of its length. The plan packs runs of equal bins at once: bins that
 have the same room left are one entry of a segment tree over room, which finds
 the tightest room that holds a length in logarithmic time. Its size depends on
-the number of lengths, not on the number of documents.
+the number of lengths, not on the number of documents: a run either ends its
+length or uses up an entry of bins, whose room is then more than halved, so
+there are at most 2 * capacity * (2 + log2(capacity)) runs, a few MB.
 
 Edge cases: null text is the empty text, whose document is the end id alone; a
 document of more than ``capacity`` tokens is cut into full pieces and a rest;
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefmill.llm.util import arrow_map, slices, stored, texts_of
+from prefmill.llm.util import arrow_map, located, slices, stored, texts_of
 from prefmill.llm.vocab import public_path, word_encoder
 
 
@@ -138,7 +140,9 @@ def assign(found: DataFrame, capacity: int, salts: int | None = None) -> DataFra
     """
     spark = found.sparkSession
     salts = salts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salted = found.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(salts)).cast("int"))
+    # by place in the stored file, so that equal rows are dealt out too
+    salted, place = located(found)
+    salted = salted.withColumn("_salt", F.pmod(F.xxhash64(*place.values()), F.lit(salts)).cast("int"))
     sizes = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))

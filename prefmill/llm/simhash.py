@@ -15,9 +15,10 @@ of 2 are used instead: 2^24 anchors instead of 2^12, 61 replicas a pair of
 segments instead of 5 a segment. Both find all links; the number of
 fingerprints only decides which costs less.
 
-Equal fingerprints are one node (copies are never compared), an anchor with
-more homes than ``TILE`` is split into tiles to which its replicas go each, and
-a tile emits a spanning forest of its links, not all pairs.
+Equal fingerprints are one node (copies are never compared). An anchor with
+more homes than ``TILE`` is split both ways, tiles of homes by parts of
+replicas. A task holds the homes of one tile while replicas stream by, and
+emits a spanning forest of the links, not all pairs.
 
 Edge cases: null text is the empty text; no words give fingerprint zero, which
 links like any other; fewer words than a shingle are one shingle; repeated rows
@@ -28,15 +29,19 @@ names one unless all members are null.
 from __future__ import annotations
 
 import functools
+import hashlib
+import itertools
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prefmill.llm.components import components
-from prefmill.llm.util import arrow_map, free_names, groups, slices, stored, texts_of
+from prefmill.llm.util import arrow_map, discard, file_system, free_names, fresh_dir, groups, located, slices, stored, texts_of, texts_of_columns
 
 SHINGLE = 4
 SEED = 42
@@ -70,8 +75,13 @@ def fingerprint(text: str) -> int:
     return int.from_bytes(np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, keep_hash: bool = False) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) and, if asked, text_hash of every document; narrow."""
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """doc_id and fp (the 64 bits as a signed long) of every document; narrow."""
+    return _fingerprinted(texts_of(docs))
+
+
+def _fingerprinted(rows: DataFrame) -> DataFrame:
+    """``rows`` with fp instead of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -79,10 +89,7 @@ def fingerprints(docs: DataFrame, keep_hash: bool = False) -> DataFrame:
             kept = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(fps.view(np.int64))], names=[*kept, "fp"])
 
-    rows = texts_of(docs)
-    if keep_hash:
-        return arrow_map(rows.withColumn("text_hash", F.xxhash64("text")), run, "doc_id long, text_hash long, fp long")
-    return arrow_map(rows, run, "doc_id long, fp long")
+    return arrow_map(rows, run, T.StructType([*(f for f in rows.schema if f.name != "text"), T.StructField("fp", T.LongType())]))
 
 
 @functools.lru_cache(maxsize=1)
@@ -135,7 +142,7 @@ def near_homes(points: np.ndarray, width: int, share: int) -> np.ndarray:
     return np.concatenate([own[:, None], found], axis=1)
 
 
-def anchors(fps: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(fps: np.ndarray, wide: bool, only_homes: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows (index of fingerprint, anchor key, is home) of the covering."""
     segments, at = [], 0
     for width in SEGMENTS:
@@ -150,7 +157,11 @@ def anchors(fps: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray, np.nda
         home.append(np.full(len(k), is_home))
 
     yes = np.ones(len(fps), bool)
-    if not wide:
+    if only_homes:
+        own = [homes(p) for p in segments]
+        for s, key in enumerate([own[0] << 12 | own[1], own[0] << 12 | own[2], own[1] << 12 | own[2]] if wide else own):
+            add(s, key, True, yes)
+    elif not wide:
         for s, (points, width) in enumerate(zip(segments, SEGMENTS, strict=True)):
             near = near_homes(points, width, 1)
             add(s, near[:, 0], True, yes)
@@ -174,74 +185,110 @@ def anchors(fps: np.ndarray, wide: bool) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(home)
 
 
+class Tile:
+    """The homes of one tile, and the links of replicas that stream by (a spanning forest)."""
+
+    def __init__(self):
+        self.held: list[np.ndarray] = []
+        self.nodes = self.label = np.zeros(0, np.int64)
+
+    def add(self, homes_: np.ndarray) -> None:
+        self.held.append(homes_)
+
+    def match(self, replicas: np.ndarray) -> tuple[list[int], list[int]]:
+        """Links (replica, home), one for each group of homes that a replica ties together."""
+        if self.held:
+            self.nodes = np.unique(np.concatenate([self.nodes.astype(np.uint64), *self.held]))
+            self.label, self.held = np.arange(len(self.nodes)), []
+        out_a: list[int] = []
+        out_b: list[int] = []
+        if not len(self.nodes):
+            return out_a, out_b
+        step = max(1, (4 << 20) // len(self.nodes))
+        for at in range(0, len(replicas), step):
+            part = replicas[at : at + step]
+            left, right = np.nonzero(np.bitwise_count(part[:, None] ^ self.nodes[None, :]) <= THRESHOLD)
+            cuts = np.searchsorted(left, np.arange(len(part) + 1))
+            n = np.diff(cuts)
+            alone = (n == 0) | ((n == 1) & (self.nodes[right[np.minimum(cuts[:-1], max(0, len(right) - 1))]] == part if len(right) else False))
+            for k in np.flatnonzero(~alone).tolist():
+                others = right[cuts[k] : cuts[k + 1]]
+                own, first = np.unique(self.label[others], return_index=True)
+                here = self.nodes[others] == part[k]
+                if here.any():
+                    if len(own) == 1:
+                        continue  # its ties are known
+                    mine = self.label[others[here]][0]
+                    first = first[own != mine]
+                if len(own) > 1:
+                    self.label[np.isin(self.label, own)] = own[0]
+                out_a += [int(part[k])] * len(first)
+                out_b += self.nodes[others[first]].tolist()
+        return out_a, out_b
+
+
 def _forest(fps: np.ndarray, is_home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links (as a spanning forest) between homes and all rows of one tile."""
-    order = np.argsort(fps, kind="stable")
-    fps, is_home = fps[order], is_home[order]
-    nodes, index = np.unique(fps, return_inverse=True)
-    own = np.unique(index[is_home])
-    label = np.arange(len(nodes))
-    out_a: list[int] = []
-    out_b: list[int] = []
-    step = max(1, (4 << 20) // len(nodes))
-    for at in range(0, len(own), step):
-        part = own[at : at + step]
-        near = np.bitwise_count(nodes[part][:, None] ^ nodes[None, :]) <= THRESHOLD
-        left, right = np.nonzero(near)
-        cuts = np.searchsorted(left, np.arange(len(part) + 1))
-        for k in np.flatnonzero(np.diff(cuts) > 1).tolist():
-            others = right[cuts[k] : cuts[k + 1]]
-            labels = label[others]
-            least = labels.min()
-            if (labels == least).all():
-                continue
-            old, first = np.unique(labels, return_index=True)
-            label[np.isin(label, old)] = least
-            for j in others[first].tolist():
-                if j != part[k]:
-                    out_a.append(int(part[k]))
-                    out_b.append(j)
-    return nodes[np.array(out_a, np.int64)], nodes[np.array(out_b, np.int64)]
+    tile = Tile()
+    tile.add(fps[is_home])
+    a, b = tile.match(fps)
+    return np.array(a, np.uint64), np.array(b, np.uint64)
 
 
 def links(fps: DataFrame, wide: bool, tile: int = TILE) -> DataFrame:
     """Pairs (a, b) of distinct fingerprints that span all links; ``fps`` has distinct column fp."""
 
-    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 20_000):
-                own = batch.column("fp").slice(at, 20_000).to_numpy().view(np.uint64)
-                rows, keys, home = anchors(own, wide)
-                yield pa.RecordBatch.from_arrays([pa.array(own[rows].view(np.int64)), pa.array(keys), pa.array(home)], names=["fp", "anchor", "home"])
-
-    covered = arrow_map(fps.select("fp"), cover, "fp long, anchor long, home boolean")
-    # anchors with many homes get tiles; the others are tile 0 and need no row here
-    crowded = covered.where("home").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile)
+    def cover(only_homes: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 20_000):
+                    own = batch.column("fp").slice(at, 20_000).to_numpy().view(np.uint64)
+                    rows, keys, home = anchors(own, wide, only_homes)
+                    yield pa.RecordBatch.from_arrays([pa.array(own[rows].view(np.int64)), pa.array(keys), pa.array(home)], names=["fp", "anchor", "home"])
+
+        return arrow_map(fps.select("fp"), run, "fp long, anchor long, home boolean")
+
+    # anchors with many homes get tiles of homes by tiles of replicas; the others are tile (0, 0) and need no row here
+    crowded = cover(only_homes=True).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile)
     crowded = crowded.select("anchor", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    dealt = covered.join(crowded, "anchor", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    dealt = dealt.withColumn(
-        "tile",
-        F.explode(
-            F.when(F.col("home"), F.array(F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("tiles") - 1))
-        ),
-    )
-    dealt = dealt.select("anchor", "tile", "fp", "home").repartition("anchor", "tile").sortWithinPartitions("anchor", "tile")
+    dealt = cover(only_homes=False).join(crowded, "anchor", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = dealt.select("anchor", F.when(F.col("home"), F.col("own")).otherwise(F.col("other")).alias("tile"), F.when(F.col("home"), F.col("other")).otherwise(F.col("own")).alias("part"), "fp", "home")
+    dealt = dealt.repartition("anchor", "tile", "part").sortWithinPartitions("anchor", "tile", "part", F.desc("home"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, n = [], [], 0
-        for _, rows in groups(batches, ["anchor", "tile"]):
-            if rows.num_rows < 3:
-                continue  # a fingerprint by itself: its home and its own replica
-            x, y = _forest(rows.column("fp").to_numpy().view(np.uint64), rows.column("home").to_numpy())
-            if len(x):
-                a.append(x.view(np.int64))
-                b.append(y.view(np.int64))
-                n += len(x)
-            if n > 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-                a, b, n = [], [], 0
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+        a: list[int] = []
+        b: list[int] = []
+        current, now = None, Tile()
+
+        def found() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64)) for x in (a, b)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(k).to_numpy() for k in ("anchor", "tile", "part")]
+            fp, home = batch.column("fp").to_numpy().view(np.uint64), batch.column("home").to_numpy(zero_copy_only=False)
+            change = np.zeros(batch.num_rows, bool)
+            for c in keys:
+                change[1:] |= c[1:] != c[:-1]
+            for start, end in itertools.pairwise([0, *np.flatnonzero(change).tolist(), batch.num_rows]):
+                key = tuple(c[start].item() for c in keys)
+                if key != current:
+                    current, now = key, Tile()
+                n = int(home[start:end].sum())  # homes come first
+                if n:
+                    now.add(fp[start : start + n])
+                if start + n < end:
+                    x, y = now.match(fp[start + n : end])
+                    a += x
+                    b += y
+            if len(a) > 100_000:
+                yield found()
+                a.clear()
+                b.clear()
+        if a:
+            yield found()
 
     return arrow_map(dealt, compare, "a long, b long")
 
@@ -265,16 +312,63 @@ def near_duplicates(docs: DataFrame, wide_from: int = WIDE_FROM, tile: int = TIL
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each group, one with the least doc_id, with its own columns.
+    """One document of each group, one with the least doc_id, with its own columns; no text is shuffled.
 
-    The winners are found on (doc_id, text hash, fingerprint); then the texts
-    are read again and joined with the winners' ids and hashes alone. Of equal
-    rows that repeat a winner one stays.
+    The winner of a group is the least (doc_id, text hash, file, row), null ids
+    last; it is found on these alone. The winners' rows are written file by
+    file to the shared folder, and a second narrow pass keeps them.
     """
-    marked = stored(fingerprints(docs, keep_hash=True), "fingerprints")
-    winners = marked.join(classes(marked.select("doc_id", "fp")), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    winners = winners.groupBy("component").agg(F.first("doc_id").alias("id"), F.min("text_hash").alias("text_hash"))
-    names = free_names(docs.columns, ["_id", "_hash", "_component"])
-    ids = winners.select(F.col("id").alias(names["_id"]), F.col("text_hash").alias(names["_hash"]), F.col("component").alias(names["_component"]))
-    same = docs["doc_id"].cast("long").eqNullSafe(ids[names["_id"]]) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == ids[names["_hash"]])
-    return docs.join(ids, same).dropDuplicates([names["_component"]]).select(*[docs[f"`{c}`"] for c in docs.columns])
+    spark = docs.sparkSession
+    docs, names = located(docs)
+    own = [n for n in docs.columns if n not in names.values()]
+    place = docs.select(*texts_of_columns(), F.col(names["file"]).alias("file"), F.col(names["row"]).alias("row"))
+    marked = stored(_fingerprinted(place.withColumn("text_hash", F.xxhash64("text"))), "fingerprints")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "file", "row")
+    best = marked.groupBy("fp").agg(F.min(rank).alias("best"))
+    winners = best.join(classes(marked.select("doc_id", "fp")).select("fp", "component"), "fp").groupBy("component").agg(F.min("best").alias("best"))
+    folder = fresh_dir(spark, "winners")
+    fs, base = file_system(folder)
+    fs.create_dir(base, recursive=True)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = file_system(folder)
+        for (file,), rows in groups(batches, ["file"]):
+            temp = f"{base}/{uuid.uuid4().hex}"
+            with fs.open_output_stream(temp) as out:
+                out.write(rows.column("row").to_numpy().astype("<i8").tobytes())
+            fs.move(temp, _winners_of(base, file))
+            yield pa.RecordBatch.from_pydict({"rows": [rows.num_rows]})
+
+    by_file = winners.select("best.file", "best.row").repartition("file").sortWithinPartitions("file", "row")
+    arrow_map(by_file, write, "rows long").agg(F.sum("rows")).first()
+    discard(marked)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = file_system(folder)
+        now, rows = None, np.zeros(0, np.int64)
+        for batch in batches:
+            files, at = batch.column(names["file"]).to_pylist(), batch.column(names["row"]).to_numpy()
+            change = [k for k in range(1, len(files)) if files[k] != files[k - 1]]
+            for a, b in itertools.pairwise([0, *change, len(files)]):
+                if a == b:
+                    continue
+                if files[a] != now:
+                    now, rows = files[a], _read_winners(fs, _winners_of(base, files[a]))
+                found = np.searchsorted(rows, at[a:b])
+                kept = rows[np.minimum(found, len(rows) - 1)] == at[a:b] if len(rows) else np.zeros(b - a, bool)
+                yield batch.slice(a, b - a).select(own).filter(pa.array(kept))
+
+    return arrow_map(docs, keep, T.StructType([f for f in docs.schema if f.name in own]))
+
+
+def _winners_of(base: str, file: str) -> str:
+    return f"{base}/{hashlib.sha256(file.encode()).hexdigest()}.rows"
+
+
+def _read_winners(fs, name: str) -> np.ndarray:
+    from pyarrow import fs as pafs
+
+    if fs.get_file_info(name).type == pafs.FileType.NotFound:
+        return np.zeros(0, np.int64)
+    with fs.open_input_file(name) as f:
+        return np.frombuffer(f.read(), "<i8")

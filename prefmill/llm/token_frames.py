@@ -5,13 +5,17 @@ document, in ascending doc_id order, then a skippable frame that holds for each
 frame its compressed size, its size, and the low 32 bits of the XXH64 of its
 content, so a reader decompresses only the documents it wants and verifies
 them. Shards are ordered by doc_id; ``<shard>.ids`` beside each lists its
-doc_ids. Ids are unsigned little-endian, 16-bit where the vocabulary allows.
+doc_ids and says how many bytes an id has. Ids are unsigned little-endian,
+16-bit where the vocabulary's largest id and the end id allow, else 32-bit; an
+id that doesn't fit raises. The number of shards follows from the texts' bytes,
+counted in a narrow scan.
 
 Writers put a shard under a temporary name and rename it, so a task that runs
 again leaves the same file.
 
 Edge cases: null text is the empty text (the end id alone); null doc_ids come
-first; repeated doc_ids are written each, ordered by text hash; an empty table
+first; repeated doc_ids are written each, ordered by text hash (equal rows may
+fall into several shards); an empty table
 writes no frames and reads back no rows.
 """
 
@@ -27,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefmill.llm.util import arrow_map, fresh_dir, slices, texts_of
+from prefmill.llm.util import arrow_map, file_system, fresh_dir, slices, texts_of
 from prefmill.llm.vocab import public_path, word_encoder
 
 SKIPPABLE = 0x184D2A5E  # fixed by the format: frame magic of the seek table
 SEEKABLE = 0x8F92EAB1  # fixed by the format: footer magic
 CHECKSUMS = 0x80  # fixed by the format: descriptor bit, entries carry checksums
-#: Text bytes that one shard is meant to hold.
+#: Text bytes that one shard is meant to hold; a parameter, to be raised for inputs of many TB.
 SHARD_BYTES = 16 << 20
 
 
@@ -41,7 +45,7 @@ class ShardWriter:
     def __init__(self, out, width: int):
         import zstandard
 
-        self.out, self.dtype = out, f"<u{width}"
+        self.out, self.dtype, self.most = out, f"<u{width}", (1 << 8 * width) - 1
         self.compress = zstandard.ZstdCompressor(level=1, write_checksum=True, write_content_size=True).compress
         self.entries: list[tuple[int, int, int]] = []
         self.doc_ids: list[int | None] = []
@@ -49,6 +53,8 @@ class ShardWriter:
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         import xxhash
 
+        if len(ids) and int(ids.max()) > self.most:
+            raise ValueError(f"id {int(ids.max())} doesn't fit in {self.dtype}")
         raw = ids.astype(self.dtype).tobytes()
         frame = self.compress(raw)
         self.out.write(frame)
@@ -91,22 +97,26 @@ class ShardReader:
         return np.frombuffer(raw, dtype=self.dtype)
 
 
-def _store(uri: str):
-    from pyarrow import fs
+def id_width(path: str, end_id: int) -> int:
+    """Bytes that an id of this vocabulary needs, 2 or 4."""
+    from tokenizers import Tokenizer
 
-    return fs.FileSystem.from_uri(uri)
+    return 2 if max(end_id, *Tokenizer.from_file(path).get_vocab().values()) < 1 << 16 else 4
 
 
-def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, width: int = 2) -> DataFrame:
+def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, width: int | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write all documents in doc_id order; returns shard, docs, tokens (a row a file).
 
     One range shuffle of the texts; a partition becomes a shard.
     """
-    fs, base = _store(folder)
+    fs, base = file_system(folder)
     fs.create_dir(base, recursive=True)
+    width = width or id_width(path, end_id)
     source = texts_of(docs).withColumn("_tie", F.xxhash64("text"))
-    parts = max(source.sparkSession.sparkContext.defaultParallelism, _parts(source))
-    ordered = source.repartitionByRange(parts, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
+    size = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(source.sparkSession.sparkContext.defaultParallelism, size // shard_bytes + 1)
+    # equal rows are alike wherever they fall, so their order may be any
+    ordered = source.withColumn("_any", F.monotonically_increasing_id()).repartitionByRange(parts, "doc_id", "_tie", "_any").sortWithinPartitions("doc_id", "_tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -114,7 +124,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, width: in
         shard = TaskContext.get().partitionId()
         encoder = word_encoder(path)
         end = np.array([end_id], dtype="<u4")
-        fs, base = _store(folder)
+        fs, base = file_system(folder)
         name = f"{base}/shard-{shard:06d}.zst"
         writer, tokens, out, temp = None, 0, None, f"{base}/.{uuid.uuid4().hex}"
         for batch in slices(batches):
@@ -131,8 +141,9 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, width: in
         out.close()
         with fs.open_output_stream(f"{temp}.ids") as f:
             known = pa.array(writer.doc_ids, pa.int64())
-            with pa.ipc.new_file(f, pa.schema([("doc_id", pa.int64())])) as sink:
-                sink.write(pa.record_batch([known], names=["doc_id"]))
+            schema = pa.schema([("doc_id", pa.int64())], metadata={"width": str(width)})
+            with pa.ipc.new_file(f, schema) as sink:
+                sink.write(pa.record_batch([known], schema=schema))
         fs.move(f"{temp}.ids", f"{name}.ids")
         fs.move(temp, name)
         yield pa.RecordBatch.from_pydict({"shard": [shard], "docs": [len(writer.doc_ids)], "tokens": [tokens]}, schema=pa.schema([("shard", pa.int32()), ("docs", pa.int64()), ("tokens", pa.int64())]))
@@ -140,25 +151,25 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, width: in
     return arrow_map(ordered.select("doc_id", "text"), run, "shard int, docs long, tokens long")
 
 
-def _parts(df: DataFrame) -> int:
-    """Partitions so that one holds about SHARD_BYTES, by the plan's size estimate of the files."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return int(min(200_000, size // SHARD_BYTES + 1))
+def _known(fs, name: str) -> tuple[pa.Array, int]:
+    """(doc_ids, bytes of an id) of a shard."""
+    with fs.open_input_file(f"{name}.ids") as f:
+        found = pa.ipc.open_file(f).read_all()
+    return found.column("doc_id").combine_chunks(), int(found.schema.metadata[b"width"])
 
 
-def read_shards(shards: DataFrame, folder: str, width: int = 2) -> DataFrame:
+def read_shards(shards: DataFrame, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files alone.
 
     ``shards`` has a row a file: shard and first (ids in all shards before).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = _store(folder)
+        fs, base = file_system(folder)
         for batch in batches:
             for shard, first in zip(batch.column("shard").to_pylist(), batch.column("first").to_pylist(), strict=True):
                 name = f"{base}/shard-{shard:06d}.zst"
-                with fs.open_input_file(f"{name}.ids") as f:
-                    doc_ids = pa.ipc.open_file(f).read_all().column("doc_id").combine_chunks()
+                doc_ids, width = _known(fs, name)
                 lengths, sums = [], []
                 with fs.open_input_file(name) as f:
                     reader = ShardReader(f, width)
@@ -172,15 +183,14 @@ def read_shards(shards: DataFrame, folder: str, width: int = 2) -> DataFrame:
     return arrow_map(shards, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def read_documents(folder: str, shard: int, doc_ids: set[int], width: int = 2) -> dict[int, list[int]]:
+def read_documents(folder: str, shard: int, doc_ids: set[int]) -> dict[int, list[int]]:
     """Random access: the ids of a few documents of a shard; no other frame is decompressed."""
-    fs, base = _store(folder)
+    fs, base = file_system(folder)
     name = f"{base}/shard-{shard:06d}.zst"
-    with fs.open_input_file(f"{name}.ids") as f:
-        known = pa.ipc.open_file(f).read_all().column("doc_id").to_pylist()
+    known, width = _known(fs, name)
     with fs.open_input_file(name) as f:
         reader = ShardReader(f, width)
-        return {d: reader.ids(k).tolist() for k, d in enumerate(known) if d in doc_ids}
+        return {d: reader.ids(k).tolist() for k, d in enumerate(known.to_pylist()) if d in doc_ids}
 
 
 def token_output(docs: DataFrame, path: str | None = None, end_id: int = 2, folder: str | None = None) -> DataFrame:

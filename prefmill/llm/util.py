@@ -14,7 +14,8 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that a Python worker turns into Python objects at once.
@@ -96,6 +97,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def located(rows: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with file and row number behind their own columns, and the names of these two.
+
+    A table that isn't read straight from Parquet files is stored first.
+    """
+    plan = rows._jdf.queryExecution().analyzed()
+    try:
+        if plan.getClass().getSimpleName() != "LogicalRelation":
+            raise AnalysisException("no bare relation")
+        found = rows.metadataColumn("_metadata")
+        rows.select(found["row_index"])
+    except AnalysisException:
+        rows = stored(rows, "located")
+        found = rows.metadataColumn("_metadata")
+    names = free_names(rows.columns, ["file", "row"])
+    return rows.withColumns({names["file"]: found["file_path"], names["row"]: found["row_index"]}), names
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a worker holds a bounded amount of text as objects."""
     for batch in batches:
@@ -162,9 +181,13 @@ def trim() -> None:
         pass
 
 
-def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def texts_of_columns(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     """The two columns that the operators read, null text as the empty text."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return [F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")]
+
+
+def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return docs.select(*texts_of_columns(id_col, text_col))
 
 
 def free_names(taken: list[str], names: list[str]) -> dict[str, str]:
@@ -192,7 +215,7 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple
             change[1:] |= c[1:] != c[:-1]
         cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
         for a, b in itertools.pairwise(cuts):
-            key = tuple(c[a].item() for c in cols)
+            key = tuple(c[a].item() if hasattr(c[a], "item") else c[a] for c in cols)
             if key != current:
                 if held:
                     yield current, pa.Table.from_batches(held)

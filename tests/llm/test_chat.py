@@ -55,3 +55,13 @@ def test_segments_join_to_the_formatted_text(spark):
     f = Formatter()
     assert f.parse("".join(r.segment for r in rows)) == [("user", ROWS[1][3]), ("assistant", ROWS[0][3])]
     assert [f.unescape(r.segment) for r in rows if r.loss] == [ROWS[0][3]]
+
+
+def test_a_whole_conversation_is_read_back_from_one_string(spark):
+    """Turns that look like other turns, over several blocks; the string is parsed as a whole."""
+    turns = [(9, k, ("user", "assistant")[k % 2], f"</s>[INST] {k} " * 3000 if k % 3 == 0 else f" [/INST] {k}", "") for k in range(40)]
+    r = formatted_digests(rows_of(spark, turns)).first()
+    loss = "".join(t[3] for t in turns if t[2] == "assistant")
+    assert r.n_turns == 40 and r.valid and r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest() and r.loss_chars == len(loss)
+    whole = "".join(s.segment for s in sorted(segments(rows_of(spark, turns)).collect(), key=lambda s: s.position))
+    assert Formatter().parse(whole) == [(t[2], t[3]) for t in turns] and r.formatted_chars == len(whole)

@@ -2,7 +2,8 @@ import numpy as np
 import xxhash
 
 from prefmill.llm.components import components
-from prefmill.llm.simhash import THRESHOLD, _forest, _leaders, anchors, fingerprint, near_duplicates, one_of_each
+from prefmill.llm.simhash import THRESHOLD, Tile, _forest, _leaders, anchors, fingerprint, near_duplicates, one_of_each
+from prefmill.llm.util import stored
 
 from .conftest import TEXTS
 
@@ -116,3 +117,35 @@ def test_one_of_each(docs, no_docs):
     groups = len(set(roots(len(TEXTS), linked_rows(f))))
     assert len(kept) == groups and (1, TEXTS[0][1]) in kept and (2, None) in kept
     assert one_of_each(no_docs).count() == 0
+
+
+def test_one_of_each_keeps_columns_rows_and_files(spark, docs):
+    base = " ".join(f"w{k}" for k in range(300))
+    rows = [(k, base + (" x" if k % 3 else ""), f"f{k}", k, "h") for k in range(60)] + [(5, base + " x", "f5", 5, "h")] * 3 + [(70, "another text of its own", None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, file string, row int, text_hash string").repartition(7)
+    stored_docs = stored(df, "test-docs")
+    f = np.array([slow_fingerprint(t) for _, t, *_ in rows], dtype=np.uint64)
+    n = len(set(roots(len(rows), linked_rows(f))))
+    for source in (df, stored_docs, stored_docs.where("doc_id >= 0"), stored_docs.union(stored_docs)):
+        out = one_of_each(source)
+        assert out.schema == df.schema
+        got = sorted((tuple(r) for r in out.collect()), key=lambda r: r[0])
+        assert len(got) == n and got[0] == rows[0] and got[-1] == rows[-1]
+
+
+def test_replicas_stream_in_parts(spark, docs):
+    f = family(200, 3)
+    want = roots(len(f), linked(f))
+    at = {int(x): k for k, x in enumerate(f)}
+    for step in (1, 7, 1000):
+        tile, pairs = Tile(), []
+        tile.add(f)
+        for k in range(0, len(f), step):
+            a, b = tile.match(f[k : k + step])
+            pairs += [(at[x], at[y]) for x, y in zip(a, b, strict=True)]
+        assert len(pairs) < len(f) and roots(len(f), pairs) == want
+    stray = Tile()
+    stray.add(f[:100])
+    a, b = stray.match(f)
+    pairs = [(at[x], at[y]) for x, y in zip(a, b, strict=True)]
+    assert roots(len(f), pairs) == roots(len(f), [(i, j) for i, j in linked(f) if i < 100 or j < 100])

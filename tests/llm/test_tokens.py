@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from prefmill.llm.bpe import decode_documents, encode_documents, prefix_bpe
 from prefmill.llm.packing import Rooms, pack, plan
-from prefmill.llm.token_frames import ShardReader, ShardWriter, read_documents, token_output
+from prefmill.llm.token_frames import ShardReader, ShardWriter, id_width, read_documents, token_output, write_shards
 from prefmill.llm.vocab import public_path, word_encoder
 
 from .conftest import TEXTS
@@ -166,3 +166,29 @@ def test_token_output(docs, no_docs, tmp_path):
     shard = next(k for k in range(100) if (tmp_path / "frames" / f"shard-{k:06d}.zst").exists() and read_documents(folder, k, {1}))
     assert read_documents(folder, shard, {1})[1] == ids[TEXTS[0]]
     assert token_output(no_docs).count() == 0
+
+
+def test_ids_beyond_two_bytes(spark, tmp_path):
+    """A vocabulary beyond 65,535 ids gets four bytes; an id that doesn't fit raises."""
+    path = public_path("word_bpe_49k.json")
+    assert id_width(path, 2) == 2 and id_width(path, 70_000) == 4
+    folder = f"file://{tmp_path}/wide"
+    df = spark.createDataFrame([(k, f"word {k}") for k in range(20)] + [(5, "same")] * 30, "doc_id long, text string")
+    rows = token_output(df, end_id=70_000, folder=folder).collect()
+    assert len(rows) == 50 and sorted(r.doc_id for r in rows) == sorted([*range(20), *[5] * 30])
+    shard = next(k for k in range(100) if (tmp_path / "wide" / f"shard-{k:06d}.zst").exists())
+    assert {ids[-1] for ids in read_documents(folder, shard, set(range(20))).values()} == {70_000}
+    with pytest.raises(ValueError, match="doesn't fit"):
+        ShardWriter(io.BytesIO(), 2).add(1, np.array([70_000], "<u4"))
+
+
+def test_shards_follow_the_bytes(spark, tmp_path):
+    df = spark.createDataFrame(spark.sparkContext.parallelize([(k, "some text " * 50) for k in range(400)], 3), "doc_id long, text string")
+    done = write_shards(df, f"file://{tmp_path}/small", public_path("word_bpe_49k.json"), 2, shard_bytes=20_000).collect()
+    assert 8 <= len(done) <= 11 and sum(r.docs for r in done) == 400
+
+
+def test_equal_pieces_are_packed_each(spark, docs):
+    df = spark.createDataFrame([(1, "one two three")] * 500 + [(2, "four")] * 500, "doc_id long, text string")
+    rows = pack(df).collect()
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 1000
