@@ -2,9 +2,10 @@
 
 DataFrame and SQL functions only. The rules are a short list and become one
 CASE. The URLs that a rule fits are the labelled ones: boosted trees learn
-from their features (length, depth, digit share, character entropy, number of
+from their features (lengths, depth, digit share, character entropy, number of
 parameters, suffix statistics) to tell blocked from allowed, and judge the
-URLs that no rule fits. Features are cut into a few bins, equal rows are
+URLs that no rule fits. A labelled URL's suffix statistics leave out the labels
+of its own fold, so that no label enters its own features. Features are cut into a few bins, equal rows are
 counted once, and each level of a tree is one aggregation of gradients by
 feature and bin; gradients are summed as whole numbers, so the trees don't
 depend on the order of rows. The trees become one SQL expression.
@@ -41,11 +42,14 @@ EDGES: dict[str, list[float]] = {
     "n_hyphens": [1, 2, 4],
     "suffix_share": [0.001, 0.01, 0.05, 0.2],
     "suffix_blocked": [0.05, 0.2, 0.35, 0.5, 0.65, 0.8, 0.95],
-    "section_blocked": [0.05, 0.2, 0.35, 0.5, 0.65, 0.8, 0.95],
 }
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Statistics of up to so many suffixes or sections are broadcast; more of them are joined by a shuffle.
+#: Statistics of up to so many suffixes are broadcast; more of them are joined by a shuffle.
 BROADCAST_KEYS = 10_000
+#: Folds of the labelled URLs, by a hash of the URL: equal URLs share one.
+FOLDS = 5
+#: Rows by which a suffix's blocked share is drawn to the overall one.
+PRIOR_ROWS = 10
 #: Gradients are summed as multiples of 1 / SCALE.
 SCALE = 1_000_000
 
@@ -68,7 +72,7 @@ def rule_columns(rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
 
 
 def features(pages: DataFrame, url: str = "url") -> DataFrame:
-    """Add the lexical features, and the keys of the suffix statistics."""
+    """Add the lexical features, the suffix and the fold."""
     u = F.coalesce(F.col(url).cast("string"), F.lit(""))
     n = F.greatest(F.length(u), F.lit(1))
     digits = F.length(u) - F.length(F.translate(u, "0123456789", ""))
@@ -88,31 +92,30 @@ def features(pages: DataFrame, url: str = "url") -> DataFrame:
             "n_params": F.when(query == "", 0).otherwise(F.length(query) - F.length(F.translate(query, "&;", "")) + 1).cast("double"),
             "n_hyphens": (F.length("host") - F.length(F.replace("host", F.lit("-"), F.lit("")))).cast("double"),
             "_suffix": F.substring_index("host", ".", -1),
-            "_section": F.substring_index(F.col("path"), "/", 2),
+            "_fold": F.pmod(F.xxhash64("_u"), F.lit(FOLDS)).cast("int"),
         }
     )
 
 
 def _with_statistics(rows: DataFrame) -> DataFrame:
-    """Add each suffix's share of all URLs and the smoothed blocked share of suffix and section.
+    """Add each suffix's share of all URLs and its smoothed blocked share.
 
-    Statistics are taken over all rows, pre-aggregated; only the labelled count
-    for the blocked shares. They are stored and counted, and broadcast only
-    where they prove small. A section without labelled URLs has the overall
-    share, so only the others are joined.
+    Statistics are taken over all rows, pre-aggregated; a labelled row's blocked
+    share is that of the other folds. They are stored and counted, and broadcast
+    only where they prove small.
     """
     blocked, known = F.count_if(F.col("_verdict") == "block"), F.count("_verdict")
-    total = rows.agg(F.count(F.lit(1)).alias("n"), blocked.alias("b"), known.alias("k")).first()
-    prior = (total["b"] + 1) / (total["k"] + 2)
-    for key, name, share in (("_suffix", "suffix_blocked", "suffix_share"), ("_section", "section_blocked", None)):
-        stats = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), blocked.alias("_b"), known.alias("_k"))
-        stats = stored(stats if share else stats.where("_k > 0"), "statistics")
-        stats = F.broadcast(stats) if stats.count() <= BROADCAST_KEYS else stats.hint("merge")
-        rows = rows.join(stats, key, "left").withColumn(name, F.coalesce((F.col("_b") + 10 * prior) / (F.col("_k") + 10), F.lit(prior)))
-        if share:
-            rows = rows.withColumn(share, F.coalesce(F.col("_n") / max(1, total["n"]), F.lit(0.0)))
-        rows = rows.drop("_n", "_b", "_k")
-    return rows
+    by_fold = rows.groupBy("_suffix", "_fold").agg(F.count(F.lit(1)).alias("n"), blocked.alias("b"), known.alias("k"))
+    stats = by_fold.groupBy("_suffix").agg(
+        F.sum("n").alias("_n"), F.sum("b").alias("_b"), F.sum("k").alias("_k"), F.map_from_entries(F.collect_list(F.struct("_fold", F.struct("b", "k")))).alias("_folds")
+    )
+    stats = stored(stats, "statistics")
+    total = stats.agg(F.sum("_n").alias("n"), F.sum("_b").alias("b"), F.sum("_k").alias("k"), F.count(F.lit(1)).alias("keys")).first()
+    prior = ((total["b"] or 0) + 1) / ((total["k"] or 0) + 2)
+    rows = rows.join(F.broadcast(stats) if total["keys"] <= BROADCAST_KEYS else stats.hint("merge"), "_suffix", "left")
+    own = F.when(F.col("_verdict").isNotNull(), F.col("_folds")[F.col("_fold")])
+    b, k = (F.coalesce(F.col(f"_{c}") - F.coalesce(own[c], F.lit(0)), F.lit(0)) for c in "bk")
+    return rows.withColumns({"suffix_blocked": (b + PRIOR_ROWS * prior) / (k + PRIOR_ROWS), "suffix_share": F.coalesce(F.col("_n") / max(1, total["n"] or 0), F.lit(0.0))}).drop("_n", "_b", "_k", "_folds")
 
 
 def binned(name: str) -> Column:
@@ -147,7 +150,7 @@ def _leaf(g: float, h: float, rate: float, ridge: float) -> float:
     return round(rate * g / (h + ridge), 9)
 
 
-def boost(bins: DataFrame, rounds: int = 8, depth: int = 2, rate: float = 0.4, ridge: float = 1.0, least: float = 1e-6) -> Boosted:
+def boost(bins: DataFrame, rounds: int = 10, depth: int = 2, rate: float = 0.4, ridge: float = 1.0, least: float = 1e-6) -> Boosted:
     """Fit on counted rows: bin columns ``_b_*``, ``_pos`` (blocked) and ``_neg`` (allowed).
 
     Every level is one pass over the counted rows, which gives at most
@@ -207,17 +210,25 @@ def boost(bins: DataFrame, rounds: int = 8, depth: int = 2, rate: float = 0.4, r
     return model
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, page_id: str = "page_id", url: str = "url") -> DataFrame:
-    """page_id, host, path, rule, verdict, block_score (the trees' probability) of every page."""
-    rules = RULES if rules is None else rules
+def labelled(pages: DataFrame, rules: list[tuple[str, str, str]], page_id: str = "page_id", url: str = "url") -> DataFrame:
+    """page_id, url, host, path, rule, the rule's verdict as ``_verdict``, and the lexical features."""
     name, verdict = rule_columns(rules)
-    rows = parsed(pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"))).withColumns({"rule": name, "_verdict": verdict})
-    rows = _with_statistics(features(rows))
-    rows = rows.select("page_id", "host", "path", "rule", "_verdict", *[binned(n).alias(f"_b_{n}") for n in EDGES])
-    rows = stored(rows, "urls")
-    known = rows.where(F.col("_verdict").isNotNull()).groupBy(*[f"_b_{n}" for n in EDGES])
+    rows = parsed(pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url")))
+    return features(rows.withColumns({"rule": name, "_verdict": verdict}))
+
+
+def scored(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """Fit on the rows with a ``_verdict``; stored rows with their bins, and the log-odds of 'block' over these."""
+    bins = [f"_b_{n}" for n in EDGES]
+    rows = stored(_with_statistics(rows).withColumns({f"_b_{n}": binned(n) for n in EDGES}).drop("_u", "_suffix", "url", *EDGES), "urls")
+    known = rows.where(F.col("_verdict").isNotNull()).groupBy(*bins)
     counted = stored(known.agg(F.count_if(F.col("_verdict") == "block").alias("_pos"), F.count_if(F.col("_verdict") == "allow").alias("_neg")), "url-bins")
-    odds = boost(counted).expression()
+    return rows, boost(counted).expression()
+
+
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, page_id: str = "page_id", url: str = "url") -> DataFrame:
+    """page_id, host, path, rule, verdict, block_score (the trees' probability) of every page."""
+    rows, odds = scored(labelled(pages, RULES if rules is None else rules, page_id, url))
     return rows.select(
         "page_id",
         "host",
@@ -226,3 +237,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, pag
         F.coalesce("_verdict", F.when(odds >= 0, "block").otherwise("allow")).alias("verdict"),
         (1 / (1 + F.exp(-odds))).alias("block_score"),
     )
+
+
+def held_out(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
+    """verdict (the rule's), predicted, rows: the trees on the labelled URLs of fold 0, fitted without these labels."""
+    rows = labelled(pages, RULES if rules is None else rules).withColumn("_truth", F.col("_verdict"))
+    rows, odds = scored(rows.withColumn("_verdict", F.when(F.col("_fold") > 0, F.col("_verdict"))))
+    test = rows.where((F.col("_fold") == 0) & F.col("_truth").isNotNull())
+    return test.groupBy(F.col("_truth").alias("verdict"), F.when(odds >= 0, "block").otherwise("allow").alias("predicted")).agg(F.count(F.lit(1)).alias("rows"))

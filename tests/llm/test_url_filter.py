@@ -1,6 +1,11 @@
 import math
+import random
 
-from prefmill.llm.url_filter import EDGES, RULES, features, judge, parsed
+import numpy as np
+import pytest
+
+from prefmill.llm import url_filter
+from prefmill.llm.url_filter import EDGES, RULES, _with_statistics, boost, features, held_out, judge, parsed
 
 URLS = [
     (1, "https://a.example.org/es/x?q=1&r=2"),
@@ -57,12 +62,77 @@ def test_features(spark):
         assert r.depth == r.path.count("/")
 
 
-def test_trees_learn_what_rules_say(spark):
-    rows = [(i, f"https://s{i % 7}.example.{'com' if i % 3 else 'net'}/{('de', 'fr', 'en')[i % 5 % 3]}/{i}") for i in range(400)]
-    got = judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
-    for r in got:
-        if "/de/" in r.path:
-            assert r.verdict == "block"
-        if "/fr/" in r.path:
-            assert r.verdict == "allow"
-    assert set(EDGES) and all(0 <= r.block_score <= 1 for r in got)
+def test_trees_learn_from_the_dealt_features(spark, docs):
+    """Verdicts that follow the number of parameters are learned, and held for URLs that no rule fits."""
+    rng = random.Random(4)
+    rules = [("block", "bad.com", "/"), ("allow", "good.com", "/")]
+    rows = []
+    for i in range(600):
+        bad = rng.random() < 0.4
+        kind = rng.choice(["good.com", "bad.com", "other.com"])
+        bad = kind == "bad.com" or kind == "other.com" and bad
+        query = "?" + "&".join(f"k{j}=1" for j in range(rng.randint(4, 6) if bad else rng.randint(0, 1)))
+        rows.append((i, f"https://{'s' * rng.randint(1, 5)}.{kind}/{rng.randint(1, 99)}{query}", bad))
+    df = spark.createDataFrame(rows, "page_id long, url string, truth boolean")
+    got = judge(df, rules).join(df, "page_id").collect()
+    assert all(r.verdict == ("block" if r.truth else "allow") and 0 <= r.block_score <= 1 for r in got)
+    out = {(r.verdict, r.predicted): r.rows for r in held_out(df, rules).collect()}
+    assert set(out) == {("block", "block"), ("allow", "allow")}
+
+
+@pytest.mark.parametrize("broadcast", [10_000, 0])
+def test_suffix_statistics_leave_out_the_own_fold(spark, docs, monkeypatch, broadcast):
+    monkeypatch.setattr(url_filter, "BROADCAST_KEYS", broadcast)
+    rows = [("com", k % 5, "allow") for k in range(3000)] + [("rare", 1, "block"), ("rare", 1, "block"), ("rare", 2, "allow"), ("rare", 1, None), ("none", 3, None)]
+    df = spark.createDataFrame(rows, "_suffix string, _fold int, _verdict string")
+    got = {(r["_suffix"], r["_fold"], r["_verdict"]): r for r in _with_statistics(df).collect()}
+    prior = 3 / 3005
+    assert _with_statistics(df).count() == len(rows)
+    assert got["rare", 1, "block"].suffix_blocked == pytest.approx(10 * prior / 11)
+    assert got["rare", 2, "allow"].suffix_blocked == pytest.approx((2 + 10 * prior) / 12)
+    assert got["rare", 1, None].suffix_blocked == pytest.approx((2 + 10 * prior) / 13)
+    assert got["none", 3, None].suffix_blocked == pytest.approx(prior)
+    assert got["rare", 1, None].suffix_share == pytest.approx(4 / 3005)
+
+
+def plain_boosting(x, pos, neg, rounds, depth, rate, ridge):
+    """Boosted trees row by row: the log-odds of each row."""
+    odds = np.full(len(x), math.log(pos.sum() / neg.sum()))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-odds))
+        g, h = np.round((pos * (1 - p) - neg * p) * 1e6) / 1e6, np.round((pos + neg) * p * (1 - p) * 1e6) / 1e6
+        leaves = [np.arange(len(x))]
+        for _ in range(depth):
+            grown = []
+            for own in leaves:
+                gain = lambda rows: g[rows].sum() ** 2 / (h[rows].sum() + ridge)
+                best = (1e-6, None)
+                for f in range(x.shape[1]):
+                    for cut in sorted(set(x[own, f]))[1:]:
+                        low, high = own[x[own, f] < cut], own[x[own, f] >= cut]
+                        better = gain(low) + gain(high) - gain(own)
+                        if better > best[0] + 1e-9:
+                            best = (better, (low, high))
+                grown += best[1] or (own,)
+            leaves = grown
+        for own in leaves:
+            odds[own] += rate * g[own].sum() / (h[own].sum() + ridge)
+    return odds
+
+
+def test_trees_against_plain_boosting(spark, docs):
+    rng = np.random.default_rng(5)
+    names = list(EDGES)
+    x = np.unique(rng.integers(0, 4, (150, len(names))), axis=0)
+    pos, neg = rng.integers(0, 9, len(x)), rng.integers(0, 9, len(x))
+    pos[x[:, 2] > 2] += 20
+    rows = [(k, *map(int, r), int(a), int(b)) for k, (r, a, b) in enumerate(zip(x, pos, neg, strict=True))]
+    df = spark.createDataFrame(rows, "k int, " + ", ".join(f"_b_{n} int" for n in names) + ", _pos long, _neg long")
+    for rounds, depth in ((1, 1), (3, 2), (4, 3)):
+        got = [r.o for r in df.select("k", boost(df, rounds, depth).expression().alias("o")).orderBy("k").collect()]
+        assert np.allclose(got, plain_boosting(x, pos, neg, rounds, depth, 0.4, 1.0), atol=1e-5)
+
+
+def test_clashing_names(spark, docs):
+    df = spark.createDataFrame([(1, "https://a.example.org/es/x", "h", "p", "v")], "page_id long, url string, host string, path string, _verdict string")
+    assert [tuple(r)[:5] for r in judge(df).collect()] == [(1, "a.example.org", "/es/x", "example.org/es/", "block")]
