@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefmill.functions.hashing import sha_rank
+from prefmill.operators.quantiles import nearest_ranks, with_ranks
 from prefmill.sources.jsonl import InputError
 
 #: Length-ratio limits of the feasibility table (fixed values).
@@ -98,17 +99,16 @@ def df_of(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def subset_summary(df: DataFrame, by: list[str]) -> DataFrame:
-    ratio = lambda f: F.expr(f"percentile_disc({f}) WITHIN GROUP (ORDER BY length_ratio)")
-    return df.groupBy(*by).agg(
+    ranks = nearest_ranks(df, by, ["length_ratio"], (0.5, 0.9)).withColumnsRenamed({"length_ratio_p50": "ratio_p50", "length_ratio_p90": "ratio_p90"})
+    out = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("chosen_tokens").alias("chosen_mean"),
         F.avg("rejected_tokens").alias("rejected_mean"),
         F.avg("length_ratio").alias("ratio_mean"),
-        ratio(0.5).alias("ratio_p50"),
-        ratio(0.9).alias("ratio_p90"),
         F.max("length_ratio").alias("ratio_max"),
         F.count_if("rejected_longer").alias("rejected_longer_count"),
     )
+    return with_ranks(out, ranks, by)
 
 
 def feasibility(df: DataFrame, categories: DataFrame, thresholds: list[float] | None = None, category: str = "category") -> DataFrame:
