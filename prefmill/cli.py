@@ -1,16 +1,163 @@
-"""Command line: ``python -m prefmill.cli COMMAND ...``; exit code 1 on a broken contract or a failed gate."""
+"""Command line: ``python -m prefmill.cli COMMAND ...``.
+
+Exit code 1 on a broken contract or a failed gate, 2 where re-evaluation leaves
+rows for manual review. Models are outside: ``--scorer MODULE:FUNCTION`` names a
+function that builds a scorer (a list of row dicts to a list of dicts).
+"""
 
 from __future__ import annotations
 
 import argparse
+import importlib
+import json
 import sys
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prefmill.operators import candidates, contracts, evaluation, margins, quality, reviews, splits, subsets, tasks
+from prefmill.operators import candidates, contracts, evaluation, judging, margins, quality, reviews, scorers, splits, subsets, tasks
+from prefmill.scratch import stored
 from prefmill.sources import schemas, sinks
-from prefmill.sources.jsonl import InputError, read_strict
+from prefmill.sources.jsonl import InputError, category_prompts, expand_inputs, read_id_list, read_strict
+
+
+def scorer(name: str) -> Callable[[], scorers.Scorer]:
+    """A function by its name MODULE:FUNCTION; looked up where it is called."""
+    module, _, function = name.partition(":")
+
+    def make() -> scorers.Scorer:
+        return getattr(importlib.import_module(module), function)()
+
+    return make
+
+
+def _there(spark: SparkSession, path: str | None, schema: str) -> DataFrame:
+    """Rows of an output that may not have been written yet."""
+    try:
+        return read_strict(spark, path, schema) if path else spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+COMPLETIONS = "outputs array<struct<text:string,finish_reason:string,stop_reason:string,token_ids:array<int>>>"
+FAILURE = "id long, category string, candidate_id string, stage string, reason string"
+
+
+def generate(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Candidates of tasks that have none yet, and of those asked for again; failures are written beside them."""
+    tasks.check_judging(a.batch_size, a.max_model_len, a.max_tokens, a.temperature)
+    sinks.distinct_paths(a.output, a.failures)
+    todo = read_tasks(spark, a.tasks, a.categories)
+    again = read_id_list(spark, a.retry_ids) if a.retry_ids else None
+    todo = candidates.pending(todo, _there(spark, a.output, schemas.WORKER_OUTPUT), again)
+    if a.dry_run:
+        print(json.dumps({"pending": todo.count()}))
+        return 0
+    rows = todo.withColumns({"count": F.lit(a.candidate_count), "seed": F.lit(a.seed), "max_tokens": F.lit(a.max_tokens), "temperature": F.lit(a.temperature), "top_p": F.lit(a.top_p)})
+    made = stored(scorers.score(rows, scorer(a.scorer), COMPLETIONS, "generate", a.batch_size, keep=["id", "category"]).withColumnRenamed("error", "failed"), "completions")
+    made = candidates.from_completions(made, a.worker_id, a.seed, a.candidate_count).withColumn("error", F.coalesce("failed", "error"))
+    sinks.append_jsonl(made.where("error is null").select("id", "category", "candidates"), a.output)
+    sinks.append_jsonl(made.where("error is not null").select("id", "category", F.lit(None).cast("string").alias("candidate_id"), F.lit("generate").alias("stage"), F.substring("error", 1, 1000).alias("reason")), a.failures)
+    return 0
+
+
+PAIR = "id long, category string, candidate_id string, verdict string, chosen_score int, candidate_score int, confidence string, reason string, judge_model string, judge_mode string, prompt_fingerprint string"
+
+
+def judge(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Blind judgments of candidates, one by one or two at a time; judged tasks, failures and incomplete tasks."""
+    tasks.check_judging(a.batch_size, a.max_model_len, a.max_tokens, group_size=a.group_size)
+    sinks.distinct_paths(a.pair_output, a.output, a.failures, a.incomplete)
+    source = read_strict(spark, a.input, f"{schemas.TASKS}, candidates array<{schemas.CANDIDATE}>")
+    contracts.require_empty(contracts.duplicate_keys(source, "id"), "ids repeat")
+    contracts.require_empty(contracts.repeated_candidates(source), "candidate ids repeat")
+    flat = judging.explode_candidates(source)
+    open_, cut = judging.split_excluded(flat)
+    rubrics = category_prompts(spark, a.prompt_dir, {c: f"{c}.txt" for c in a.categories}) if a.prompt_dir else None
+    pairs = judging.build_pairs(open_, rubrics, a.seed)
+    cache = _there(spark, a.pair_output, PAIR)
+    contracts.require_empty(judging.stale_cache(cache, pairs, a.model).select("id", "candidate_id", "stale"), "cached judgments are stale")
+    units = judging.pending_units(pairs, cache, a.group_size)
+    # what a prompt's tokens are is the model's matter; four characters a token is the usual bound here
+    units = judging.length_fallback(units.withColumn("_tokens", F.ceil(F.length("instruction") / 4)), "_tokens", a.max_tokens, a.max_model_len).drop("_tokens")
+    print(json.dumps({r["name"]: r["n"] for r in judging.progress(source, pairs, cut, cache, units).collect()}))
+    if a.dry_run:
+        return 0
+    make, keep = scorer(a.scorer), ["id", "category", "candidate_id", "candidate_label", "chosen_label", "prompt_fingerprint", "error"]
+    one = scorers.score(units.where("mode = 'pairwise'").select("id", "category", "candidate_id", "candidate_label", "chosen_label", "prompt_fingerprint", "instruction"), make, "output string", "judge", a.batch_size).withColumnRenamed("error", "failed")
+    one = judging.parse_pair_output(one).withColumn("error", F.coalesce("failed", "error"))
+    one = one.withColumns({"verdict": judging.pair_verdict(F.col("winner"), F.col("chosen_label")), "chosen_score": judging.side_score(F.col("chosen_label"), F.col("score_a"), F.col("score_b")), "candidate_score": judging.side_score(F.col("candidate_label"), F.col("score_a"), F.col("score_b"))})
+    found = one.select(*keep, "verdict", "chosen_score", "candidate_score", "confidence", "reason", F.lit("pairwise").alias("judge_mode"))
+    if a.group_size == 2:
+        found = found.unionByName(_grouped(units.where("mode = 'groupwise'"), make, a).select(found.columns))
+    found = stored(found.withColumn("judge_model", F.lit(a.model)), "judgments")
+    names = [x.split()[0] for x in PAIR.split(", ")]
+    sinks.append_jsonl(found.where("error is null").select(*names), a.pair_output)
+    sinks.write_jsonl(judging.failure_rows(found.where("error is not null"), "judge", F.col("error")), a.failures, True)
+    done, incomplete = judging.aggregate_tasks(flat, _there(spark, a.pair_output, PAIR), cut)
+    sinks.write_jsonl(done, a.output, a.overwrite)
+    sinks.write_jsonl(incomplete, a.incomplete, a.overwrite)
+    return 0
+
+
+def _grouped(units: DataFrame, make, a: argparse.Namespace) -> DataFrame:
+    """Judgments of two candidates and the chosen answer at once: a row a candidate."""
+    shown = judging.group_labels(units, a.seed)
+    labels = shown.groupBy("id", "group").agg(F.map_from_entries(F.collect_list(F.struct("source", "label"))).alias("labels"), F.to_json(F.map_from_entries(F.collect_list(F.struct("label", "text")))).alias("answers"))
+    asked = units.groupBy("id", "group").agg(F.first("category").alias("category"), F.first("rubric").alias("rubric"), F.first("prompt").alias("prompt")).join(labels, ["id", "group"])
+    asked = asked.select("id", "group", "category", "labels", F.concat(F.coalesce("rubric", F.lit("")), F.lit("\n\n"), F.to_json("prompt"), F.lit("\n\n"), "answers").alias("instruction"))
+    got = scorers.score(asked, make, "output string", "judge", a.batch_size, keep=["id", "group", "labels"]).withColumnRenamed("error", "failed")
+    got = judging.parse_group_output(got).withColumn("error", F.coalesce("failed", "error")).drop("failed", "output", "stage")
+    rows = units.select("id", "group", "category", "candidate_id", "candidate_label", "chosen_label", "prompt_fingerprint").join(got, ["id", "group"])
+
+    def of(field: str, label: Column) -> Column:
+        return F.when(label == "A", F.col(f"{field}_a")).when(label == "B", F.col(f"{field}_b")).otherwise(F.col(f"{field}_c"))
+
+    own, original = F.col("labels")[F.col("candidate_id")], F.col("labels")["original"]
+    rows = rows.withColumns({"candidate_score": of("score", own), "chosen_score": of("score", original), "reason": of("reason", own), "judge_mode": F.lit("groupwise")})
+    return rows.withColumn("verdict", judging.group_verdict(F.col("chosen_score"), F.col("candidate_score")))
+
+
+def eval_generate(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Both turns' answers of every question under every strategy, a folder a strategy; exit 1 if a turn failed."""
+    questions = read_strict(spark, a.input, schemas.QUESTIONS)
+    kinds = spark.createDataFrame([tuple(x.split("=", 1)) for x in a.strategy or ["default="]], "strategy string, prefix string")
+    made = stored(scorers.two_turns(questions, kinds, scorer(a.scorer), a.batch_size), "answers").join(questions.select("id", "references"), "id")
+    sinks.write_jsonl(made.where("error is null").drop("stage", "error"), a.output_dir, a.overwrite, ["strategy"])
+    return int(made.where("error is not null").limit(1).count())
+
+
+def eval_judge(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Judgments of both turns; a failed one is a status."""
+    rows = read_strict(spark, a.input, "id long, category string, questions array<string>, references array<string>, outputs array<string>")
+    q, r, o = F.col("questions"), F.col("references"), F.col("outputs")
+    asked = rows.select("*", F.explode(F.array(F.struct(F.lit("single").alias("turn"), evaluation.judge_prompt(q[0], r[0], o[0]).alias("prompt")), F.struct(F.lit("multi").alias("turn"), evaluation.judge_prompt(q[0], r[0], o[0], q[1], r[1], o[1]).alias("prompt")))).alias("t"))
+    asked = asked.select("id", "t.turn", "t.prompt")
+    got = evaluation.parse_judgment(scorers.score(asked, scorer(a.scorer), "content string", "judge", a.batch_size, a.attempts, ["id", "turn"], a.retry_delay))
+    judged = got.groupBy("id").pivot("turn", ["single", "multi"]).agg(F.first(F.struct("judge_message", "judge_score", F.coalesce("error", "status").alias("status"))))
+    sinks.write_jsonl(rows.join(judged.withColumnsRenamed({"single": "query_single", "multi": "query_multi"}), "id"), a.output_dir, a.overwrite)
+    return 0
+
+
+def re_eval(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Zero-scored turns that a language rule speaks about, judged again; exit code 2 if some are left for review."""
+    rows = read_strict(spark, [f for f, _ in expand_inputs(a.input, spark=spark)], schemas.EVALUATED)
+    rules = read_strict(spark, a.rules, "rule_id string, question_id long, turn string, question string, judge_override string")
+    found = evaluation.rule_candidates(rows, rules)
+    if a.dry_run:
+        print(json.dumps({"candidates": found.count()}))
+        return 0
+    q, r, o, rule = F.col("questions"), F.col("references"), F.col("outputs"), F.col("judge_override")
+    asked = found.join(rows.select("id", "questions", "references", "outputs"), "id")
+    asked = asked.withColumn("prompt", F.when(F.col("turn") == "single", evaluation.judge_prompt(q[0], r[0], o[0], rule=rule)).otherwise(evaluation.judge_prompt(q[0], r[0], o[0], q[1], r[1], o[1], rule)))
+    got = evaluation.parse_rejudgment(scorers.score(asked.select("id", "turn", "rule_id", "prompt"), scorer(a.scorer), "content string", "re-eval", a.batch_size, a.max_attempts, ["id", "turn", "rule_id"], a.retry_delay))
+    got = stored(got.withColumn("status", F.when(F.col("error").isNotNull(), "failed").otherwise(F.col("status"))), "rejudged")
+    sinks.write_jsonl(evaluation.apply_rejudgments(rows, got), a.output_dir, a.overwrite)
+    return 2 if got.where("status <> 'ok'").limit(1).count() else 0
 
 
 def read_tasks(spark: SparkSession, path: str, categories: list[str]) -> DataFrame:
@@ -135,6 +282,13 @@ def parser() -> argparse.ArgumentParser:
     command("split", split, input=need, output_dir=need, train_ratio={"type": float, "default": 0.9}, seed=number(42), by_question={"action": "store_true"})
     command("gate", gate, reference=need, candidate=need, expected_per_category={"type": int}, strict={"action": "store_true"})
     command("score", score, input={"required": True, "nargs": "+"})
+    flag, real = {"action": "store_true"}, lambda x: {"type": float, "default": x}
+    sizes = {"batch_size": number(8), "max_model_len": number(4096), "max_tokens": number(1024)}
+    command("generate", generate, tasks=need, output=need, failures=need, scorer=need, retry_ids={}, worker_id=need, candidate_count=number(4), seed=number(42), temperature=real(1.0), top_p=real(1.0), dry_run=flag, **sizes)
+    command("judge", judge, input=need, pair_output=need, output=need, failures=need, incomplete=need, scorer=need, model={"default": "judge"}, prompt_dir={}, group_size=number(1), seed=number(42), dry_run=flag, **sizes)
+    command("eval-generate", eval_generate, input=need, output_dir=need, scorer=need, strategy={"action": "append", "metavar": "NAME=PREFIX"}, batch_size=number(8))
+    command("eval-judge", eval_judge, input=need, output_dir=need, scorer=need, batch_size=number(8), attempts=number(3), retry_delay=real(2.0))
+    command("re-eval", re_eval, input={"required": True, "nargs": "+"}, rules=need, output_dir=need, scorer=need, batch_size=number(8), max_attempts=number(3), retry_delay=real(2.0), dry_run=flag)
     return p
 
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 #: Java class equal to Python's white space.
 SPACE = r"[\s\x1c-\x1f]"
@@ -47,6 +47,18 @@ def nfkc(c: Column | str) -> Column:
     return F.when(ascii_only, c).otherwise(_nfkc(F.when(~ascii_only, c)))
 
 
+@pandas_udf(ArrayType(StringType()))
+def _nfkc_each(s: pd.Series) -> pd.Series:
+    return s.map(lambda a: [None if x is None else unicodedata.normalize("NFKC", x) for x in a], na_action="ignore")
+
+
+def nfkc_each(c: Column | str) -> Column:
+    """NFKC normal form of each text of an array; arrays of ASCII texts stay in the JVM."""
+    c = col(c)
+    ascii_only = F.forall(c, lambda x: F.coalesce(x.rlike(r"\A\p{ASCII}*\z"), F.lit(True)))
+    return F.when(ascii_only, c).otherwise(_nfkc_each(F.when(~ascii_only, c)))
+
+
 def dedup_key(c: Column | str, unicode: bool = True) -> Column:
     """Key under which candidate answers are the same: NFKC, white space collapsed, case kept."""
     return collapse(nfkc(c) if unicode else c)

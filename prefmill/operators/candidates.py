@@ -5,7 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefmill.functions.text import dedup_key
+from prefmill.functions.text import blank, dedup_key, nfkc_each, strip
+
+
+def from_completions(df: DataFrame, worker: str, seed: int, expected: int, completions: str = "outputs") -> DataFrame:
+    """candidates and error (null if sound) from a model's completions (text, finish_reason, stop_reason, token_ids).
+
+    Texts are stripped; as many are needed as asked for, none blank, no two
+    alike after normalisation.
+    """
+    made = F.transform(
+        completions,
+        lambda c, k: F.struct(
+            k.alias("candidate_index"),
+            F.lit(worker).alias("worker_id"),
+            F.lit(seed).cast("long").alias("seed"),
+            strip(c["text"]).alias("text"),
+            c["finish_reason"].alias("finish_reason"),
+            c["stop_reason"].alias("stop_reason"),
+            F.when(c["token_ids"].isNotNull(), F.size(c["token_ids"])).alias("output_tokens"),
+        ),
+    )
+    keys = F.transform(nfkc_each(F.transform(completions, lambda c: c["text"])), lambda t: dedup_key(t, unicode=False))
+    error = (
+        F.when(~F.coalesce(F.size(completions) == expected, F.lit(False)), "wrong number of completions")
+        .when(F.exists(completions, lambda c: blank(c["text"])), "blank text")
+        .when(F.size(F.array_distinct(keys)) != F.size(keys), "duplicate texts")
+    )
+    return df.withColumns({"error": error, "candidates": F.when(error.isNull(), made)})
 
 
 def union_workers(workers: list[tuple[str, DataFrame]]) -> DataFrame:

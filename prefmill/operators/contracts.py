@@ -108,6 +108,12 @@ def worker_row_rules(expected: int, worker: str | None = None, unicode: bool = T
     return rules
 
 
+def repeated_candidates(df: DataFrame, id_col: str = "id", candidates: str = "candidates") -> DataFrame:
+    """Tasks in which two candidates have one id (``worker:index``), with that id and its count."""
+    ids = F.explode(F.transform(candidates, lambda c: F.concat_ws(":", c["worker_id"], c["candidate_index"].cast("string")))).alias("candidate_id")
+    return df.select(id_col, ids).groupBy(id_col, "candidate_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def require_empty(found: DataFrame, what: str, most: int = 20) -> None:
     """Raise with the first few keys if a violation frame has rows."""
     from prefmill.sources.jsonl import InputError

@@ -20,6 +20,7 @@ CONTRADICTIONS = [
     "한국어 언어 요구사항을 준수하지",
     "한국어 답변 요건을 충족하지",
 ]
+#: Labels before a judge's message and score (fixed values).
 MESSAGE = r"(?s)평가:(.*?)점수:"
 SCORE = r"점수:\s*(\d+(?:\.\d+)?)"
 

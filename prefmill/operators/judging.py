@@ -143,6 +143,20 @@ def group_verdict(chosen: Column, candidate: Column) -> Column:
     return F.when(F.abs(gap) <= TIE, "tie").when(gap > 0, "chosen_better").otherwise("candidate_better")
 
 
+def progress(tasks: DataFrame, pairs: DataFrame, excluded: DataFrame, done: DataFrame, units: DataFrame) -> DataFrame:
+    """name, n: what a judging run has to do. A unit is a pair, or a group of pairs in mode 'groupwise'."""
+    def one(name: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+
+    groups = units.where("mode = 'groupwise'").select("id", "group").distinct()
+    alone = units.where("mode = 'pairwise'")
+    out = one("tasks", tasks)
+    for name, df in (("pairs", pairs), ("excluded_candidates", excluded), ("completed_pairs", done), ("pending_pairs", units), ("groupwise_units", groups), ("pairwise_units", alone)):
+        out = out.union(one(name, df))
+    fallback = units.where("fallback").select("id", "group").distinct() if "fallback" in units.columns else units.limit(0)
+    return out.union(one("length_fallback_groups", fallback))
+
+
 def failure_rows(units: DataFrame, stage: str, reason: Column, most: int = 1200) -> DataFrame:
     """A dead letter for each pair of failed units."""
     return units.select("id", "category", "candidate_id", F.lit(stage).alias("stage"), F.substring(reason, 1, most).alias("reason"))

@@ -28,13 +28,14 @@ def nearest_ranks(df: DataFrame, by: list[str], columns: list[str], fractions: t
     spark = df.sparkSession
     keys = F.struct(*[F.col(b).cast("string").alias(f"k{i}") for i, b in enumerate(by)], F.lit(0).alias("_"))
     parts = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns])
-    tall = df.select(F.to_json(keys, {"ignoreNullFields": "false"}).alias("g"), *[F.col(b) for b in by], F.explode(parts).alias("x"))
-    tall = tall.select("g", *by, "x.c", "x.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
-    stats = tall.groupBy("g", *by, "c").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    own = [f"_key{i}" for i in range(len(by))]
+    tall = df.select(F.to_json(keys, {"ignoreNullFields": "false"}).alias("g"), *[F.col(b).alias(o) for b, o in zip(by, own, strict=True)], F.explode(parts).alias("x"))
+    tall = tall.select("g", *own, "x.c", "x.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    stats = tall.groupBy("g", *own, "c").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
     open_ = []  # [group, column, fraction, rank within the interval, lo, hi]
     groups = {}
     for r in stats:
-        groups[r["g"]] = tuple(r[b] for b in by)
+        groups[r["g"]] = tuple(r[o] for o in own)
         open_ += [[r["g"], r["c"], f, max(1, math.ceil(round(f * r["n"], 9))), r["lo"], r["hi"]] for f in fractions]
     found = {}
     while open_:

@@ -28,8 +28,23 @@ def normalized(rows: DataFrame) -> DataFrame:
     return made.where("prompt is not null").unionByName(from_questions(rows.where("prompt is null")))
 
 
+def check_judging(batch_size: int, max_model_len: int, max_tokens: int, temperature: float = 0.0, group_size: int = 1) -> None:
+    """Ranges of the settings of a judging or generating run."""
+    faults = [k for k, v in (("batch_size", batch_size), ("max_model_len", max_model_len), ("max_tokens", max_tokens)) if v < 1]
+    if max_tokens >= max_model_len:
+        faults.append("max_tokens must be below max_model_len")
+    if temperature < 0:
+        faults.append("temperature")
+    if group_size not in (1, 2):
+        faults.append("group_size must be 1 or 2")
+    if faults:
+        raise InputError(f"unsound settings: {faults}")
+
+
 def checked(tasks: DataFrame, categories: list[str]) -> DataFrame:
-    """The tasks, or an error that lists the first breaches."""
+    """The tasks, or an error that lists the first breaches; no tasks are a breach too."""
+    if not tasks.limit(1).count():
+        raise InputError("there are no tasks")
     contracts.require_empty(contracts.violations(tasks, contracts.task_rules(categories)), "tasks break their contract")
     contracts.require_empty(contracts.duplicate_keys(tasks, "id"), "task ids repeat")
     return tasks

@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import json
 import os
+from collections import Counter
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,10 +33,20 @@ def read_strict(spark: SparkSession, paths: str | list[str], schema: str) -> Dat
     good, bad = read_tolerant(spark, paths, schema)
     first = bad.limit(3).collect()
     if first:
-        raise InputError("; ".join(f"{r['_file']}: {r[CORRUPT][:120]}" for r in first))
+        raise InputError("; ".join(f"{r['_file']}:{r['_line']}: {r[CORRUPT][:120]}" for r in with_lines(spark, bad.limit(3)).collect()))
     return good
 
 
+def with_lines(spark: SparkSession, bad: DataFrame) -> DataFrame:
+    """Bad rows with the numbers of the lines that they are (_line); only the files that have any are read again."""
+    bad = bad.dropDuplicates()
+    found = None
+    for r in bad.select("_file").distinct().collect():  # a row a broken file
+        lines = read_numbered(spark, r["_file"]).select(F.lit(r["_file"]).alias("_file"), F.col("line").alias("_line"), F.col("raw").alias(CORRUPT))
+        found = lines if found is None else found.unionByName(lines)
+    return bad.withColumn("_line", F.lit(None).cast("long")) if found is None else bad.join(found, ["_file", CORRUPT]).orderBy("_file", "_line")
+
+
 def read_numbered(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines with their numbers, for reports on one file.
 
@@ -65,16 +76,44 @@ def sniff(spark: SparkSession, path: str) -> str:
     return "sft" if "messages" in json.loads(first["value"].lstrip("\ufeff")) else "raw"
 
 
-def expand_inputs(patterns: list[str], hidden: bool = False, skip_suffix: str = "_reeval") -> list[tuple[str, str]]:
+def load_stage(spark: SparkSession, path: str, sft: str, raw: str) -> DataFrame:
+    """Rows of either format, told by the first record, with source_format."""
+    kind = sniff(spark, path)
+    return read_strict(spark, path, sft if kind == "sft" else raw).withColumn("source_format", F.lit(kind))
+
+
+def _listed(spark: SparkSession, pattern: str) -> list[tuple[str, str]]:
+    """(file, path relative to its root) in any file system that Spark opens."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for s in fs.globStatus(at) or []:
+        root = s.getPath()
+        if s.isFile():
+            out.append((root.toString(), root.getName()))
+            continue
+        files = fs.listFiles(root, True)
+        while files.hasNext():
+            f = files.next().getPath().toString()
+            if f.endswith(".jsonl"):
+                out.append((f, f[len(root.toString()) :].lstrip("/")))
+    return out
+
+
+def expand_inputs(patterns: list[str], hidden: bool = False, skip_suffix: str = "_reeval", spark: SparkSession | None = None) -> list[tuple[str, str]]:
     """(file, path relative to its root) of files, folders and globs, each once, sorted.
 
     Hidden parts and folders that end in ``skip_suffix`` are left out; two
     inputs with one relative path are an error, as are patterns without match.
+    With a session, patterns with a scheme are listed by Spark's file systems.
     """
     found: dict[str, str] = {}
     for pattern in patterns:
         p = Path(pattern)
-        if p.is_dir():
+        if spark is not None and "://" in pattern:
+            hits = [(f, Path(rel)) for f, rel in _listed(spark, pattern)]
+        elif p.is_dir():
             hits = [(f, f.relative_to(p)) for f in p.rglob("*.jsonl")]
         elif p.is_file():
             hits = [(p, Path(p.name))]
@@ -84,8 +123,8 @@ def expand_inputs(patterns: list[str], hidden: bool = False, skip_suffix: str =
         if not hits:
             raise InputError(f"no input matches {pattern}")
         for f, rel in hits:
-            found[str(f.resolve())] = str(rel)
-    twice = {r for r in found.values() if list(found.values()).count(r) > 1}
+            found[f if isinstance(f, str) else str(f.resolve())] = str(rel)
+    twice = {r for r, n in Counter(found.values()).items() if n > 1}
     if twice:
         raise InputError(f"several inputs would be written to {sorted(twice)[:5]}")
     return sorted(found.items())

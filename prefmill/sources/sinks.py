@@ -6,7 +6,8 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from prefmill.sources.jsonl import InputError
 
@@ -24,6 +25,19 @@ def write_jsonl(df: DataFrame, path: str, overwrite: bool = False, partition_by:
     (w.partitionBy(*partition_by) if partition_by else w).json(path)
 
 
+def write_observed(df: DataFrame, path: str, overwrite: bool = False, **metrics: Column) -> dict:
+    """Write JSON lines and return metrics of the rows as they pass (rows, and the given aggregates)."""
+    seen = Observation()
+    write_jsonl(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]), path, overwrite)
+    return seen.get
+
+
+def markdown_report(title: str, sections: dict[str, DataFrame], path: str, digits: int = 4) -> None:
+    """A report of several small tables, one a section."""
+    body = "".join(f"\n## {name}\n\n{markdown_table(df, digits=digits)}" for name, df in sections.items())
+    _replace(path, f"# {title}\n{body}")
+
+
 def append_jsonl(df: DataFrame, path: str) -> None:
     """Append; the order of rows is never part of the result."""
     df.write.mode("append").option("ignoreNullFields", "false").json(path)
@@ -31,12 +45,15 @@ def append_jsonl(df: DataFrame, path: str) -> None:
 
 def write_report(report: dict, path: str) -> None:
     """A small pretty JSON file, put in place in one step."""
+    _replace(path, json.dumps(report, ensure_ascii=False, indent=2) + "\n")
+
+
+def _replace(path: str, text: str) -> None:
     folder = os.path.dirname(os.path.abspath(path))
     os.makedirs(folder, exist_ok=True)
     fd, temp = tempfile.mkstemp(dir=folder)
     with os.fdopen(fd, "w", encoding="utf-8") as f:
-        json.dump(report, f, ensure_ascii=False, indent=2)
-        f.write("\n")
+        f.write(text)
     os.replace(temp, path)
 
 
