@@ -2,81 +2,26 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import gc
 import itertools
-import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prefmill.scratch import discard, fresh_dir, shared_dir, stored  # noqa: F401  the operators take them from here
+
 #: Rows that a Python worker turns into Python objects at once.
 SLICE_ROWS = 512
 #: Text bytes above which a slice is cut shorter than SLICE_ROWS.
 SLICE_BYTES = 2 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    Taken from ``spark.checkpoint.dir``; where that is unset, a local session
-    (tests, a laptop) gets a folder of this machine, and a cluster an error.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        checkpoint = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if checkpoint.isDefined():
-            return checkpoint.get()
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='prefmill-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-#: Folders that this process has named, to be deleted when it ends.
-_made: list[tuple[SparkSession, str]] = []
-
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A name for a folder in the shared one; it is deleted when the driver's process ends, if not before."""
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not _made:
-        atexit.register(_delete_all)
-    _made.append((spark, path))
-    return path
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def _delete_all() -> None:
-    for spark, path in _made:
-        try:
-            _delete(spark, path)
-        except Exception:  # noqa: BLE001  the session has ended: the folder stays, as any checkpoint would
-            return
-
-
-def discard(df: DataFrame) -> None:
-    """Delete what ``stored`` wrote for this table; nothing that still has to be computed may read it."""
-    path = getattr(df, "_stored_at", None)
-    if path:
-        _delete(df.sparkSession, path)
-        _made[:] = [(s, p) for s, p in _made if p != path]
-
-
 def file_system(uri: str) -> tuple[Any, str]:
     """(pyarrow file system, path) of a folder. Schemes: file, hdfs, viewfs, s3, gs, abfs (those that pyarrow opens)."""
     from pyarrow import fs
@@ -84,19 +29,6 @@ def file_system(uri: str) -> tuple[Any, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends here.
-
-    Unlike a cache it survives lost executors.
-    """
-    spark = df.sparkSession
-    path = fresh_dir(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stored_at = path
-    return out
-
-
 def located(rows: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """The rows with file and row number behind their own columns, and the names of these two.
 
