@@ -85,7 +85,7 @@ def turns(df: DataFrame) -> DataFrame:
 def rule_candidates(df: DataFrame, rules: DataFrame) -> DataFrame:
     """Turns scored 0 that a language rule speaks about: equal id, turn and question up to white space.
 
-    ``rules`` is a handful of rows: rule_id, question_id, turn, question, judge_override.
+    ``rules`` has rule_id, question_id, turn, question, judge_override.
     """
     r = rules.select("rule_id", F.col("question_id").alias("id"), "turn", collapse("question").alias("_q"), "judge_override")
     rows = turns(df).where("judge_score = 0").withColumn("_q", collapse("question"))

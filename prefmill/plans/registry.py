@@ -582,10 +582,10 @@ def rejudge_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {DIALOGUES}, e AS (SELECT id, turns, id % 3 AS s, id % 4 AS m FROM dialogues WHERE len(turns) >= 3)
-SELECT id, 'single' AS turn, 'r' || id AS rule_id FROM e WHERE s = 0 AND id < 20 UNION ALL SELECT id, 'multi', 'm' || id FROM e WHERE m = 0 AND id < 30"""
+SELECT id, 'single' AS turn, 'r' || id AS rule_id FROM e WHERE s = 0 UNION ALL SELECT id, 'multi', 'm' || id FROM e WHERE m = 0"""
 )
 def language_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """Zero-scored turns that a rule speaks about; rules quote the questions with other white space."""
+    """Zero-scored turns that a rule speaks about; the rules quote all questions, with other white space."""
     t = F.col("turns")
     e = dialogues(spark, sf).where(F.size("turns") >= 3).select(
         "id", F.array(t[0]["text"], t[2]["text"]).alias("questions"),
@@ -593,8 +593,8 @@ def language_rules(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.lit("").alias("judge_message"), (F.col("id") % 4).cast("double").alias("judge_score")).alias("query_multi"),
     )
     wide = lambda c: F.concat(F.lit("  "), F.replace(c, F.lit(" "), F.lit("\t ")), F.lit("\n"))
-    rules = e.where("id < 20").select(F.concat(F.lit("r"), "id").alias("rule_id"), F.col("id").alias("question_id"), F.lit("single").alias("turn"), wide(F.col("questions")[0]).alias("question"), F.lit("").alias("judge_override"))
-    more = e.where("id < 30").select(F.concat(F.lit("m"), "id").alias("rule_id"), F.col("id").alias("question_id"), F.lit("multi").alias("turn"), wide(F.col("questions")[1]).alias("question"), F.lit("").alias("judge_override"))
+    rules = e.select(F.concat(F.lit("r"), "id").alias("rule_id"), F.col("id").alias("question_id"), F.lit("single").alias("turn"), wide(F.col("questions")[0]).alias("question"), F.lit("").alias("judge_override"))
+    more = e.select(F.concat(F.lit("m"), "id").alias("rule_id"), F.col("id").alias("question_id"), F.lit("multi").alias("turn"), wide(F.col("questions")[1]).alias("question"), F.lit("").alias("judge_override"))
     return evaluation.rule_candidates(e, rules.union(more)).select("id", "turn", "rule_id")
 
 
