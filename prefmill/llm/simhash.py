@@ -293,13 +293,18 @@ def links(fps: DataFrame, wide: bool, tile: int = TILE) -> DataFrame:
     return arrow_map(dealt, compare, "a long, b long")
 
 
-def classes(marked: DataFrame, wide_from: int = WIDE_FROM, tile: int = TILE) -> DataFrame:
-    """fp, component (a fingerprint of its group), component_id (least doc_id) of stored (doc_id, fp) rows."""
+def fingerprint_groups(marked: DataFrame, wide_from: int = WIDE_FROM, tile: int = TILE) -> DataFrame:
+    """fp, first (least doc_id with it), component (a fingerprint of its group) of stored (doc_id, fp) rows."""
     distinct = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     n = distinct.count()
     parts = components(links(distinct, wide=n >= wide_from, tile=tile))
     named = distinct.join(parts, distinct.fp == parts.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    named = stored(named, "named")
+    return stored(named, "named")
+
+
+def classes(marked: DataFrame, wide_from: int = WIDE_FROM, tile: int = TILE) -> DataFrame:
+    """fp, component, component_id (least doc_id of the group) of stored (doc_id, fp) rows."""
+    named = fingerprint_groups(marked, wide_from, tile)
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     return named.join(least, "component").select("fp", "component", "component_id")
 
@@ -325,7 +330,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     marked = stored(_fingerprinted(place.withColumn("text_hash", F.xxhash64("text"))), "fingerprints")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "file", "row")
     best = marked.groupBy("fp").agg(F.min(rank).alias("best"))
-    winners = best.join(classes(marked.select("doc_id", "fp")).select("fp", "component"), "fp").groupBy("component").agg(F.min("best").alias("best"))
+    winners = best.join(fingerprint_groups(marked.select("doc_id", "fp")).select("fp", "component"), "fp").groupBy("component").agg(F.min("best").alias("best"))
     folder = fresh_dir(spark, "winners")
     fs, base = file_system(folder)
     fs.create_dir(base, recursive=True)
