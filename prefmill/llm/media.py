@@ -321,15 +321,16 @@ def savings(lists: DataFrame, index: DataFrame) -> DataFrame:
     return every.crossJoin(media).crossJoin(index.agg(F.sum("size").alias("chunk_bytes"), F.sum("stored").alias("stored_bytes")))
 
 
-def rebuilt(lists: DataFrame, index: DataFrame, folder: str) -> DataFrame:
+def rebuilt(lists: DataFrame, index: DataFrame, folder: str, before: DataFrame | None = None) -> DataFrame:
     """A row a medium and pack, read back from the store by its list, with the documents that have it.
 
-    ``index`` has all chunks of the folder, those of earlier runs too.
+    ``index`` has the chunks of this run, ``before`` those of earlier ones.
     """
     tasks = _tasks(lists)
-    own = lists.select(F.col("pack").alias("home")).distinct()
     places = index.select("digest", "pack", "place", "stored")
-    near = places.withColumnRenamed("pack", "home").join(own, "home", "left_semi").withColumn("frame", F.lit(None).cast("binary"))
+    near = places.withColumnRenamed("pack", "home").withColumn("frame", F.lit(None).cast("binary"))
+    if before is not None:
+        places = places.unionByName(before.select(*places.columns))
     # a pack names a digest once where it is new to it
     needs = lists.select(F.col("pack").alias("home"), F.explode(F.arrays_zip("digests", "places")).alias("c")).where("c.places >= 0")
     located = needs.select("home", F.col("c.digests").alias("digest")).join(places, "digest")
@@ -395,5 +396,5 @@ def media_columns(docs: DataFrame, folder: str | None = None, before: DataFrame
     """
     folder = folder or fresh_dir(docs.sparkSession, "chunks")
     lists, index = put(docs, folder, before)
-    media = rebuilt(lists, index if before is None else index.unionByName(before.select(*index.columns)), folder)
+    media = rebuilt(lists, index, folder, before)
     return media.select(F.inline("docs"), *[n for n, _ in MEDIA[1:]])
