@@ -57,7 +57,7 @@ def test_score_is_the_noisy_or_of_its_sentences():
 
 
 def test_held_out_recall(spark, docs):
-    """Measured: 88 of 97 at precision 0.989; 7 of the 9 missed texts have no offending word at all."""
+    """Measured: 88 of 97 at precision 0.989, on labels that the choice of parameters has seen; check_s gives 426 of 427 unseen."""
     sf = Path("/root/testdata/sf0.1")
     if not sf.exists():
         pytest.skip("the driver's tables are not here")
