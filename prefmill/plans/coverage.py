@@ -150,12 +150,12 @@ def judging_progress(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'ValueError: no score' END AS error, CASE WHEN doc_id % 10 <> 0 THEN n_chars % 11 END AS score FROM documents"""
+    """SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'ValueError: no score' END AS error, CASE WHEN doc_id % 10 <> 0 THEN CAST(n_chars % 11 AS DOUBLE) END AS score FROM documents"""
 )
 def scored_rows(spark: SparkSession, sf: str) -> DataFrame:
     """A scorer that raises on a tenth of the rows: the rest is scored, these are dead letters."""
     d = table(spark, sf, "documents").select("doc_id", "n_chars")
-    return scorers.score(d, _fake_scorer, "score long", "judge", keep=["doc_id"]).select("doc_id", "error", "score")
+    return scorers.score(d, _fake_scorer, "score long", "judge", keep=["doc_id"]).select("doc_id", "error", F.col("score").cast("double").alias("score"))
 
 
 def _fake_scorer():
@@ -258,7 +258,7 @@ f AS (SELECT doc_id, list_slice(ids, 1, 3) AS p, CASE doc_id % 4 WHEN 0 THEN lis
 k AS (SELECT *, CASE WHEN list_slice(f, 1, len(p)) = p THEN len(p) WHEN list_slice(f, 1, len(p) - 1) = list_slice(p, 1, len(p) - 1) THEN len(p) - 1 END AS kept FROM f),
 c AS (SELECT *, len(f) - kept AS rest, CASE WHEN len(f) > kept AND f[len(f)] = 7 THEN 0 ELSE 1 END AS extra FROM k)
 SELECT doc_id, CASE WHEN kept IS NULL THEN 'prompt is no prefix' WHEN least(kept, 2) + least(rest + extra, 40) > 41 THEN 'over max_length' WHEN kept < 1 THEN 'empty part' END AS error,
-CASE WHEN kept IS NOT NULL THEN least(kept, 2) END AS prompt_tokens, CASE WHEN kept IS NOT NULL THEN least(rest + extra, 40) END AS completion_tokens, CASE WHEN kept IS NOT NULL THEN rest + extra > 40 END AS completion_truncated FROM c"""
+CASE WHEN kept IS NOT NULL THEN CAST(least(kept, 2) AS DOUBLE) END AS prompt_tokens, CASE WHEN kept IS NOT NULL THEN CAST(least(rest + extra, 40) AS DOUBLE) END AS completion_tokens, CASE WHEN kept IS NOT NULL THEN CAST(rest + extra > 40 AS VARCHAR) END AS completion_truncated FROM c"""
 )
 def rendered_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Completions behind their prompts, with merged and broken boundaries."""
@@ -266,7 +266,7 @@ def rendered_ids(spark: SparkSession, sf: str) -> DataFrame:
     d = _docs(spark, sf, "transform(split(text, ' '), x -> length(x)) AS ids").selectExpr("doc_id", "slice(ids, 1, 3) AS p", full)
     out = shaping.rendered_ids(d, "p", "f", 7, 2, 40, 41)
     known = F.col("error").isNull() | (F.col("error") != "prompt is no prefix")
-    return out.select("doc_id", "error", *[F.when(known, F.col(c).cast("long")).alias(c) for c in ("prompt_tokens", "completion_tokens")], F.when(known, F.col("completion_truncated")).alias("completion_truncated"))
+    return out.select("doc_id", "error", *[F.when(known, F.col(c).cast("double")).alias(c) for c in ("prompt_tokens", "completion_tokens")], F.when(known, F.col("completion_truncated").cast("string")).alias("completion_truncated"))
 
 
 @query(

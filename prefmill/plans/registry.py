@@ -347,9 +347,26 @@ def arms_balanced(spark: SparkSession, sf: str) -> DataFrame:
     return subsets.same_counts(_control(spark, sf), subsets.length_priority(pairs(spark, sf), 8, 42), ["category"])
 
 
-@query()
+def _in(table: str, *conditions: str) -> str:
+    return f"(SELECT count(*) FROM {table} t WHERE {' AND '.join(('t.category = c.category', *conditions))})"
+
+
+_SWAP, _ACCEPT = "decision = 'swap_pair'", "decision = 'accept_pair'"
+_ALLOCATED = f"""kept AS (SELECT * FROM control WHERE confidence = 'high'), free AS (SELECT * FROM pairs WHERE confidence = 'high' AND id NOT IN (SELECT id FROM kept)),
+n AS (SELECT category, 8 - {_in("kept")} AS slots, {_in("free", _SWAP)} AS swaps, {_in("free", _ACCEPT)} AS accepts, {_in("control", _SWAP)} - {_in("kept", _SWAP)} AS wanted
+FROM (SELECT unnest(['de', 'en', 'es', 'fr']) AS category) c),
+x AS (SELECT category, slots, x, abs(x - wanted) AS off FROM (SELECT *, unnest(range(greatest(0, slots - accepts), least(slots, swaps) + 1)) AS x FROM n)),
+best AS (SELECT [a.x, b.x, c.x, d.x] AS xs FROM x a, x b, x c, x d WHERE a.category = 'de' AND b.category = 'en' AND c.category = 'es' AND d.category = 'fr'
+AND a.x + b.x + c.x + d.x = (SELECT sum(wanted) FROM n) ORDER BY a.off + b.off + c.off + d.off, xs LIMIT 1),
+swapped AS (SELECT unnest(['de', 'en', 'es', 'fr']) AS category, unnest(xs) AS x FROM best),
+quota AS (SELECT category, 'swap_pair' AS decision, x AS quota FROM swapped UNION ALL SELECT n.category, 'accept_pair', slots - x FROM n JOIN swapped s ON n.category = s.category),
+r AS (SELECT f.*, quota, row_number() OVER (PARTITION BY f.category, f.decision ORDER BY {_rank_sql("'42'", "'high-matched'", "f.decision", "f.category", "f.id")}, f.id) AS k
+FROM free f JOIN quota q ON f.category = q.category AND f.decision = q.decision)"""
+
+
+@query(f"WITH {PAIRS}, {_CONTROL}, {_ALLOCATED} SELECT id, category, decision, confidence FROM kept UNION ALL SELECT id, category, decision, confidence FROM r WHERE k <= quota")
 def high_matched_arm(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows only: the allocation of swaps is a small search on counts."""
+    """The allocation of swaps is a small search on counts, in the SQL by trying all."""
     p = pairs(spark, sf)
     return subsets.high_matched(_control(spark, sf), p.where("confidence = 'high'"), 8, 42, ["de", "en", "es", "fr"]).select("id", "category", "decision", "confidence")
 
@@ -538,9 +555,32 @@ def category_quota(spark: SparkSession, sf: str) -> DataFrame:
     return quality.wrong_counts(_asked(spark, sf, 0), _asked(spark, sf, 1), 7)
 
 
-@query()
+# RE2 has no look-around: what stands beside a match is matched with it, which finds the same texts
+_FORBIDDEN = {name: p.replace(r"(?=\s|$|[.)번:])", r"(?:\s|$|[.)번:])") for name, p in quality.FORBIDDEN.items()}
+_BROKEN = ", ".join(f"CASE WHEN regexp_matches(text, '{p}') THEN '{name}' END" for name, p in _FORBIDDEN.items())
+_PROSE = f"regexp_replace(regexp_replace(text, '{quality.CODE}', '', 'g'), '{quality.INLINE_CODE}', '', 'g')"
+_UNFILLED = f"CASE WHEN regexp_matches({_PROSE}, '{quality.PLACEHOLDER_PATTERN.replace('(?<!=)', '(?:^|[^=])')}') THEN '{quality.PLACEHOLDER}' END"
+
+
+@query(
+    f"""WITH {DIALOGUES}, a AS (SELECT id, CAST(id % 3 AS VARCHAR) AS category, id % 2 = 1 AS ref, turns FROM dialogues WHERE len(turns) >= 4),
+u AS (SELECT id, category, ref, unnest([TRUE, FALSE, TRUE, FALSE]) AS q, unnest([turns[1].text, turns[2].text, turns[3].text, turns[4].text]) AS text FROM a),
+v AS (SELECT *, {_KEY} AS key FROM u WHERE text IS NOT NULL), own AS (SELECT * FROM v WHERE NOT ref),
+m AS (SELECT ref, category, coalesce(count(DISTINCT key) FILTER (q) / count(*) FILTER (q), 0) AS q_unique, coalesce(count(DISTINCT key) FILTER (NOT q) / count(*) FILTER (NOT q), 0) AS ref_unique,
+coalesce(avg(length(text)) FILTER (NOT q), 0) AS ref_mean, count(*) FILTER (NOT q) AS ref_count FROM v GROUP BY ref, category),
+p AS (SELECT category, max(n) / sum(n) AS share FROM (SELECT category, substr(key, 1, 55), count(*) AS n FROM own WHERE NOT q GROUP BY ALL) GROUP BY category),
+w AS (SELECT unnest(list_filter([CASE WHEN m.q_unique < 0.55 THEN 'question diversity' END, CASE WHEN m.ref_unique < 0.45 THEN 'reference diversity' END, CASE WHEN m.ref_mean < o.ref_mean * 0.6 THEN 'reference length' END,
+CASE WHEN m.ref_count >= 10 AND share > 0.2 THEN 'reference prefix' END], lambda x: x IS NOT NULL)) AS rule FROM m JOIN m o ON NOT m.ref AND o.ref AND m.category = o.category LEFT JOIN p ON p.category = m.category),
+f AS (SELECT 'hard' AS severity, 'blank text' AS rule FROM own WHERE trim(text) = ''
+UNION ALL SELECT 'hard', unnest(list_filter([{_BROKEN}, {_UNFILLED}], lambda x: x IS NOT NULL)) FROM own
+UNION ALL SELECT 'hard', 'source question copied' FROM own WHERE q AND text IN (SELECT text FROM v WHERE ref AND q)
+UNION ALL SELECT 'hard', 'duplicate question' FROM own WHERE q GROUP BY text HAVING count(*) > 1
+UNION ALL SELECT 'hard', 'rows of category' FROM a GROUP BY category HAVING bool_or(ref) AND count(*) FILTER (NOT ref) <> 7
+UNION ALL SELECT 'warning', rule FROM w)
+SELECT severity, rule, count(*) AS n, (SELECT CASE WHEN bool_or(severity = 'hard') THEN 'FAIL' WHEN count(*) > 0 THEN 'PASS_WITH_WARNINGS' ELSE 'PASS' END FROM f) AS status FROM f GROUP BY severity, rule"""
+)
 def quality_gate(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows only: all findings by severity and rule, and the gate's status."""
+    """All findings by severity and rule, and the gate's status; categories here have no rules of their own."""
     found = quality.gate(_asked(spark, sf, 1), _asked(spark, sf, 0), expected=7, strict=True)
     counts = found.groupBy("severity", "rule").agg(F.count(F.lit(1)).alias("n"))
     return counts.crossJoin(quality.status(found).select("status"))
