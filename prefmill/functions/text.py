@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -14,6 +15,8 @@ from pyspark.sql.types import ArrayType, StringType
 SPACE = r"[\s\x1c-\x1f]"
 #: ASCII punctuation, as in Python's string.punctuation (fixed value).
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Runs of either, in one pass.
+SPACE_OR_PUNCTUATION = rf"(?U)[\s\x1c-\x1f{re.escape(PUNCTUATION)}]+"
 
 
 def col(c: Column | str) -> Column:
@@ -64,12 +67,17 @@ def dedup_key(c: Column | str, unicode: bool = True) -> Column:
     return collapse(nfkc(c) if unicode else c)
 
 
+def same_text(c: Column | str) -> Column:
+    """Digest of ``dedup_key``: groups by it shuffle 64 characters a row, however long the texts are."""
+    return F.sha2(dedup_key(c), 256)
+
+
 def template_key(c: Column | str, strip_numbers: bool = False, unicode: bool = True) -> Column:
     """Key under which texts share a template: folded, without punctuation and, if asked, digits."""
     c = F.lower(nfkc(c) if unicode else col(c))
     if strip_numbers:
         c = F.regexp_replace(c, r"(?U)\d+", "")
-    return collapse(F.translate(c, PUNCTUATION, " " * len(PUNCTUATION)))
+    return F.trim(F.regexp_replace(c, SPACE_OR_PUNCTUATION, " "))
 
 
 def base_category(c: Column | str) -> Column:

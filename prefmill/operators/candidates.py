@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from prefmill.functions.text import blank, dedup_key, nfkc_each, strip
+from prefmill.functions.text import blank, dedup_key, nfkc_each, same_text, strip
 
 
 def from_completions(df: DataFrame, worker: str, seed: int, expected: int, completions: str = "outputs") -> DataFrame:
@@ -50,10 +50,10 @@ def first_distinct(cands: DataFrame, required: int, key: Column | None = None, i
 
     Workers come in the given order, candidates in theirs; of equal texts the
     first is kept. Adds rank (from 1). Both windows are partitioned by the
-    task, so a single shuffle serves them.
+    task, so a single shuffle serves them; texts are told apart by digests.
     """
     order = [F.col("worker_ord"), F.col("pos")]
-    key = dedup_key("text") if key is None else key
+    key = same_text("text") if key is None else key
     same = Window.partitionBy(id_col, "_key").orderBy(*order)
     once = cands.withColumn("_key", key).repartition(id_col).withColumn("_n", F.row_number().over(same)).where("_n = 1").drop("_n")
     return once.withColumn("rank", F.row_number().over(Window.partitionBy(id_col).orderBy(*order))).where(F.col("rank") <= required).drop("_key")
@@ -61,7 +61,7 @@ def first_distinct(cands: DataFrame, required: int, key: Column | None = None, i
 
 def merge_counts(tasks: DataFrame, cands: DataFrame, required: int, workers: list[str], key: Column | None = None, id_col: str = "id") -> DataFrame:
     """For each task: candidates, distinct ones, duplicates, workers without output, complete."""
-    key = dedup_key("text") if key is None else key
+    key = same_text("text") if key is None else key
     stats = cands.groupBy(id_col, key.alias("_key")).agg(F.count(F.lit(1)).alias("n"), F.collect_set("worker_id").alias("w"))
     stats = stats.groupBy(id_col).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("unique"), F.array_distinct(F.flatten(F.collect_list("w"))).alias("w"))
     out = tasks.join(stats, id_col, "left")

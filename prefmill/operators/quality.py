@@ -85,10 +85,11 @@ def category_metrics(values: DataFrame, unicode: bool = True) -> DataFrame:
     """Per category: distinct shares of questions and references by template, mean length, most common beginning.
 
     Distinct counts and the mode come from counts by (category, field, key),
-    so the keys are shuffled once, pre-aggregated.
+    so the keys are shuffled once, pre-aggregated, as digest and beginning.
     """
     keyed = values.select("category", "field", template_key("text", strip_numbers=True, unicode=unicode).alias("key"), F.length("text").alias("len"))
-    by_key = keyed.groupBy("category", "field", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("len").alias("len"))
+    keyed = keyed.select("category", "field", F.sha2("key", 256).alias("key"), F.substring("key", 1, PREFIX).alias("prefix"), "len")
+    by_key = keyed.groupBy("category", "field", "key", "prefix").agg(F.count(F.lit(1)).alias("n"), F.sum("len").alias("len"))
     q, r = F.col("field") == "questions", F.col("field") == "references"
     metrics = by_key.groupBy("category").agg(
         F.coalesce(F.try_divide(F.count_if(q), F.sum(F.when(q, F.col("n")))), F.lit(0.0)).alias("q_unique_ratio"),
@@ -96,7 +97,7 @@ def category_metrics(values: DataFrame, unicode: bool = True) -> DataFrame:
         F.coalesce(F.try_divide(F.sum(F.when(r, F.col("len"))), F.sum(F.when(r, F.col("n")))), F.lit(0.0)).alias("ref_mean"),
         F.coalesce(F.sum(F.when(r, F.col("n"))), F.lit(0)).alias("ref_count"),
     )
-    prefix = by_key.where(r).groupBy("category", F.substring("key", 1, PREFIX).alias("p")).agg(F.sum("n").alias("n"))
+    prefix = by_key.where(r).groupBy("category", "prefix").agg(F.sum("n").alias("n"))
     share = prefix.groupBy("category").agg((F.max("n") / F.sum("n")).alias("top_ref_prefix_share"))
     return metrics.join(share, "category", "left").na.fill(0.0, ["top_ref_prefix_share"])
 

@@ -51,7 +51,7 @@ SELECT id, rank, worker_id, pos, doc_id FROM ranked WHERE rank <= {REQUIRED} AND
 )
 def merge_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """The first four distinct answers of each task that has four."""
-    first = candidates.first_distinct(cand(spark, sf), REQUIRED)
+    first = candidates.first_distinct(cand(spark, sf), REQUIRED, F.col("key"))
     full = first.where(F.col("rank") == REQUIRED).select("id")
     return first.join(full, "id", "left_semi").select("id", "rank", "worker_id", "pos", "doc_id")
 
@@ -64,7 +64,7 @@ concat_ws(',', CASE WHEN NOT coalesce(w0, false) THEN 'worker_0' END, CASE WHEN
 FROM tasks t LEFT JOIN stats s ON t.id = s.id WHERE coalesce(uniq, 0) < {REQUIRED}"""
 )
 def incomplete_tasks(spark: SparkSession, sf: str) -> DataFrame:
-    out = candidates.merge_counts(spark.range(200), cand(spark, sf), REQUIRED, WORKERS).where("NOT complete").drop("complete")
+    out = candidates.merge_counts(spark.range(200), cand(spark, sf), REQUIRED, WORKERS, F.col("key")).where("NOT complete").drop("complete")
     return out.withColumn("missing_worker_outputs", F.array_join("missing_worker_outputs", ","))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from prefmill.functions.text import same_text
 from prefmill.session import table
 
 TASKS = 200
@@ -18,7 +19,7 @@ def tokens(c: str = "text"):
 
 def cand(spark: SparkSession, sf: str) -> DataFrame:
     """Candidates of ``TASKS`` tasks from two workers."""
-    d = table(spark, sf, "documents").select((F.col("n_chars") % TASKS).alias("id"), (F.col("doc_id") % 2).cast("int").alias("worker_ord"), "doc_id", "lang", "text")
+    d = table(spark, sf, "documents").select((F.col("n_chars") % TASKS).alias("id"), (F.col("doc_id") % 2).cast("int").alias("worker_ord"), "doc_id", "lang", "text", same_text("text").alias("key"))
     pos = F.row_number().over(Window.partitionBy("id", "worker_ord").orderBy("doc_id")) - 1
     return d.withColumns({"worker_id": F.concat(F.lit("worker_"), "worker_ord"), "pos": pos})
 
